@@ -6,8 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkseg.llm.splitting import split_segments
+from sparkseg.llm.turns import spoken_segments, turn_texts, turns
 from sparkseg.session import table
 
+#: What both segment tables have and the problems on text need.
+SEGMENT = ["seg_id", "rec_id", "`start`", "`end`", "speaker", "text", "language", "ingested_at"]
+
+
+def _segments(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "seg_result").select(*SEGMENT).unionByName(table(spark, folder, "res_seg").select(*SEGMENT))
+
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """How each segment of more than 30 s can be cut, before any overlap is added."""
@@ -20,7 +28,17 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split_segments(table(spark, folder, "seg_result"), overlap_ms=500)
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces}
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns of each recording."""
+    return turns(spoken_segments(_segments(spark, folder), table(spark, folder, "speaker_alias")))
+
+
+def p3_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns with their clean text."""
+    return turn_texts(spoken_segments(_segments(spark, folder), table(spark, folder, "speaker_alias")))
+
+
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns}
 
 SQL = {
     "p2_found": """
