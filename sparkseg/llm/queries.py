@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkseg.llm.consensus import chance_corrected, consensus, judged, latest_votes, reliability
 from sparkseg.llm.splitting import split_segments
 from sparkseg.llm.turns import spoken_segments, turn_texts, turns
 from sparkseg.session import table
@@ -38,9 +39,48 @@ def p3_turns(spark: SparkSession, folder: str) -> DataFrame:
     return turn_texts(spoken_segments(_segments(spark, folder), table(spark, folder, "speaker_alias")))
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns}
+def _votes(spark: SparkSession, folder: str) -> DataFrame:
+    segments = table(spark, folder, "seg_result").select("seg_id", "text", "text_whisper", "text_parakeet", "text_canary")
+    return judged(table(spark, folder, "seg_label"), segments)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Consensus label of each segment with a usable verdict."""
+    votes = _votes(spark, folder)
+    return consensus(votes, reliability(votes)).select("seg_id", "label")
+
+
+def p5_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Consensus label of each segment, how far its judges agree, and how many there are."""
+    votes = _votes(spark, folder)
+    return consensus(votes, reliability(votes))
+
+
+def p5_annotators(spark: SparkSession, folder: str) -> DataFrame:
+    """Reliability of each annotator, and of the comparison of transcripts."""
+    return reliability(_votes(spark, folder)).select("judge", "votes", "accuracy", F.col("w").alias("weight"))
+
+
+def p5_agreement(spark: SparkSession, folder: str) -> DataFrame:
+    """Chance-corrected agreement of the annotators."""
+    return chance_corrected(latest_votes(table(spark, folder, "seg_label")))
+
+
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement}
 
 SQL = {
+    "p5_agreement": """
+WITH usable AS (
+  SELECT seg_id, annotator_id, labelled_at,
+    CASE regexp_replace(lower(label), '[^a-z]', '', 'g') WHEN 'ok' THEN 'ok' WHEN 'okay' THEN 'ok' WHEN 'edit' THEN 'edit' WHEN 'edited' THEN 'edit' WHEN 'reject' THEN 'reject' WHEN 'rejected' THEN 'reject' END AS label
+  FROM seg_label),
+last AS (SELECT seg_id, annotator_id, arg_max(label, (labelled_at, label)) AS label FROM usable WHERE label IS NOT NULL GROUP BY ALL),
+counts AS (SELECT seg_id, count(*) FILTER (label = 'ok') AS a, count(*) FILTER (label = 'edit') AS b, count(*) FILTER (label = 'reject') AS c, count(*) AS m FROM last GROUP BY seg_id HAVING m > 1),
+sums AS (
+  SELECT count(*) AS segments, CAST(sum(m) AS BIGINT) AS votes, sum((a * (a - 1) + b * (b - 1) + c * (c - 1)) / (m - 1)) AS same, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b, sum(c)::DOUBLE AS c FROM counts),
+rated AS (SELECT segments, votes, same / votes AS agreement, (a * (a - 1) + b * (b - 1) + c * (c - 1)) / (votes::DOUBLE * (votes - 1)) AS expected FROM sums)
+SELECT segments, votes, agreement, expected, (agreement - expected) / (1 - expected) AS alpha FROM rated
+""",
     "p2_found": """
 WITH RECURSIVE segments AS (
   SELECT seg_id, CAST(round("start" * 1000) AS BIGINT) AS a, CAST(round("end" * 1000) AS BIGINT) AS b, any_value(words) AS words

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkseg.functions.columns import millis
 from sparkseg.functions.speakers import label_key, speaker_name, speaker_number
 from sparkseg.llm.rosters import assign_labels
-from sparkseg.llm.spoken import has_words, leading_name, with_speech
+from sparkseg.llm.spoken import clean, has_words, leading_name, with_speech
 from sparkseg.operators.skew import salted_left_join
 
 #: Length of the time buckets into which a recording is split.
@@ -43,7 +43,7 @@ def spoken_segments(df: DataFrame, alias: DataFrame) -> DataFrame:
     return joined.select(
         "seg_id", "rec_id", "s", "e", "ingested_at",
         F.coalesce(speaker_name("number"), F.col("w1"), speaker_name("lead_number"), F.col("w2")).alias("who"),
-        F.when(named, F.col("speech_named")).otherwise(F.col("speech")).alias("speech"),
+        clean(F.when(named, F.col("speech_named")).otherwise(F.col("speech"))).alias("speech"),
         F.when(named, F.col("words_named")).otherwise(F.col("words")).alias("words"),
     ).where("who IS NOT NULL AND words").drop("words")
 
