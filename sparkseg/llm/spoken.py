@@ -14,11 +14,12 @@ TIME = rf"(?:[\[<(]\s*(?:{_CLOCK}|\d+(?:\.\d+)?\s*s)\s*[\]>)]|\d{{1,3}}:\d{{2}}:
 #: Sound annotations: anything short in brackets, between stars or notes.
 SOUND = r"(?:\(\([^()]{0,40}\)\)|\[[^\[\]]{0,40}\]|\([^()]{0,40}\)|<[^<>]{0,40}>|\{[^{}]{0,40}\}|（[^（）]{0,40}）|【[^【】]{0,40}】|\*[^*\s][^*]{0,38}\*|♪[^♪]{0,40}♪|♪)"
 
-_WORD = r"(?:speaker|spkr|spk|s)[\s._#-]*"
-#: A numbered label at the beginning of a text; the number is in group 1 or 2.
-NUMBER_LABEL = rf"(?i)^(?:>>\s*)?(?:[\[(<]\s*{_WORD}(\d{{1,6}})\s*[\])>]\s*:?|{_WORD}(\d{{1,6}})\s*(?:[:>–—|]|-\s))\s*"
+_NUMBERED = r"(?:speaker|spkr|spk|s)[\s._#-]*"
+#: A numbered label at the beginning of a text; the number is its group.
+NUMBER_LABEL = rf"(?i)^(?:>>\s*)?(?:[\[(<]\s*(?={_NUMBERED}\d+\s*[\])>]))?{_NUMBERED}(\d{{1,6}})\s*(?:[\])>]\s*:?|[:–—|]|-\s)\s*"
+_PART = r"\p{L}[\p{L}\p{M}'’.-]*+"
 #: What may be a name used as a label there; it is one if the recording has it.
-NAME_LABEL = r"^(?:>>\s*)?(?:\[\s*([\p{L}\p{M}'’.-]+(?: [\p{L}\p{M}'’.-]+){0,3})\s*\]\s*:?|<\s*([\p{L}\p{M}'’.-]+(?: [\p{L}\p{M}'’.-]+){0,3})\s*>|([\p{L}\p{M}'’.-]+(?: [\p{L}\p{M}'’.-]+){0,3})\s*(?:[:>–—：]|\s-\s))\s*"
+NAME_LABEL = rf"^(?:>>\s*)?[\[<]?\s*({_PART}(?: {_PART}){{0,3}})\s*(?:[\]>]\s*:?|[:–—：]|-\s)\s*"
 
 # fixed values: hesitation sounds
 HESITATIONS = [
@@ -54,29 +55,26 @@ def beginning(text: Column) -> Column:
     return F.regexp_replace(text, rf"^(?:\s|{TIME})+", "")
 
 
-def leading_number(text: Column) -> Column:
-    """Number of the numbered label at the beginning, else null."""
-    at = beginning(text)
-    digits = F.concat(F.regexp_extract(at, NUMBER_LABEL, 1), F.regexp_extract(at, NUMBER_LABEL, 2))
+def leading_number(at: Column) -> Column:
+    """Number of the numbered label that a text begins with, else null."""
+    digits = F.regexp_extract(at, NUMBER_LABEL, 1)
     return F.when(digits != "", digits.cast("bigint"))
 
 
-def leading_name(text: Column) -> Column:
+def leading_name(at: Column) -> Column:
     """Key of what may be a name used as a label at the beginning, else null."""
-    at = beginning(text)
-    key = label_key(F.concat(*[F.regexp_extract(at, NAME_LABEL, i) for i in (1, 2, 3)]))
-    return F.when(key != "", key)
+    name = F.regexp_extract(at, NAME_LABEL, 1)
+    return F.when(name != "", label_key(name))
 
 
-def without_label(text: Column, named: bool) -> Column:
-    """The text behind its label, which is numbered, or a name if ``named``."""
-    return F.regexp_replace(beginning(text), NAME_LABEL if named else NUMBER_LABEL, "")
+def unmarked(text: Column) -> Column:
+    """The text without time marks and sound annotations."""
+    return F.when(text.rlike(r"[\[(<{（【*♪]|\d:\d"), F.regexp_replace(F.regexp_replace(text, TIME, " "), SOUND, " ")).otherwise(text)
 
 
 def speech(text: Column) -> Column:
     """The text without marks and hesitations, in single spaces."""
-    bare = F.regexp_replace(F.regexp_replace(text, TIME, " "), SOUND, " ")
-    calm = F.regexp_replace(F.regexp_replace(bare, _HESITATION, " "), _DOUBTFUL, " ")
+    calm = F.regexp_replace(F.regexp_replace(unmarked(text), _HESITATION, " "), _DOUBTFUL, " ")
     return collapsed(F.regexp_replace(calm, r"(?:^|\s)[\s,，、|>-]+(?=\s|$)", " "))
 
 
@@ -92,22 +90,30 @@ def clean(spoken: Column) -> Column:
     return collapsed(F.when(spoken.rlike(_ENGLISH), english).when(spoken.rlike(_SPANISH), spanish).otherwise(spoken))
 
 
-def has_words(spoken: Column) -> Column:
-    """Whether a letter or digit is left besides doubtful hesitations."""
-    return F.coalesce(F.regexp_replace(spoken, _DOUBTFUL_ALONE, " ").rlike(r"[\p{L}\p{N}]"), F.lit(False))
+#: The beginning of a word that is no hesitation.
+_WORD = rf"(?iu)(?<!{_EDGE})(?!(?:{'|'.join(sorted(HESITATIONS + ALSO_WORDS, key=len, reverse=True))})(?!{_EDGE}))[\p{{L}}\p{{N}}]"
+_ANY_UNSPACED = rf"[{''.join(sorted({w[0] for w in UNSPACED + UNSPACED_BEFORE_MARK}))}]"
+
+
+def has_words(text: Column) -> Column:
+    """Whether a text has a letter or digit besides marks and hesitations, doubtful ones included."""
+    bare = unmarked(text)
+    calm = F.when(bare.rlike(_ANY_UNSPACED), F.regexp_replace(bare, _HESITATION, " ")).otherwise(bare)
+    return F.coalesce(calm.rlike(_WORD), F.lit(False))
 
 
 def with_speech(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``lead_number``, ``lead_name``, ``speech`` and ``speech_named``.
+    """``df`` with ``lead_number``, ``lead_name``, ``body`` and ``body_named``.
 
-    ``speech_named`` is the speech if ``lead_name`` is a name of the recording, ``speech``
-    otherwise. Null and blank texts have no label and null or empty speech.
+    ``body_named`` is the text behind its label if ``lead_name`` is a name of the recording,
+    ``body`` is it otherwise. Null and blank texts have no label and null or blank bodies.
     """
-    t = F.col(text)
-    number, name = leading_number(t), leading_name(t)
+    at, number, name = F.col("__at"), F.col("lead_number"), F.col("lead_name")
     return (
-        df.withColumn("lead_number", number)
-        .withColumn("lead_name", F.when(F.col("lead_number").isNull(), name))
-        .withColumn("speech", speech(F.when(F.col("lead_number").isNotNull(), without_label(t, False)).otherwise(t)))
-        .withColumn("speech_named", F.when(F.col("lead_name").isNotNull(), speech(without_label(t, True))).otherwise(F.col("speech")))
+        df.withColumn("__at", beginning(F.col(text)))
+        .withColumn("lead_number", leading_number(at))
+        .withColumn("lead_name", F.when(number.isNull(), leading_name(at)))
+        .withColumn("body", F.when(number.isNotNull(), F.regexp_replace(at, NUMBER_LABEL, "")).otherwise(at))
+        .withColumn("body_named", F.when(name.isNotNull(), F.regexp_replace(at, NAME_LABEL, "")).otherwise(F.col("body")))
+        .drop("__at")
     )

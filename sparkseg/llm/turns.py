@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkseg.functions.columns import millis
 from sparkseg.functions.speakers import label_key, speaker_name, speaker_number
 from sparkseg.llm.rosters import assign_labels
-from sparkseg.llm.spoken import clean, has_words, leading_name, with_speech
+from sparkseg.llm.spoken import beginning, clean, has_words, leading_name, speech, with_speech
 from sparkseg.operators.skew import salted_left_join
 
 #: Length of the time buckets into which a recording is split.
@@ -29,12 +29,13 @@ def spoken_segments(df: DataFrame, alias: DataFrame) -> DataFrame:
         with_speech(timed)
         .withColumn("number", speaker_number("speaker"))
         .withColumn("label", F.when(F.col("number").isNull(), label_key("speaker")))
-        .select("seg_id", "rec_id", "s", "e", "ingested_at", "number", "label", "lead_number", "lead_name", "speech", "speech_named", has_words(F.col("speech")).alias("words"), has_words(F.col("speech_named")).alias("words_named"))
-        .where("words OR words_named")
+        .withColumn("words", has_words(F.col("body")))
+        .withColumn("words_named", F.when(F.col("lead_name").isNotNull(), has_words(F.col("body_named"))).otherwise(F.col("words")))
+        .drop("speaker", "text")
     )
     # labels come from the narrow columns, in a scan of their own
     raw = df.where("rec_id IS NOT NULL").select("rec_id", speaker_number("speaker").alias("n"), label_key("speaker").alias("label"))
-    keys = raw.where("n IS NULL").select("rec_id", "label").unionByName(df.select("rec_id", leading_name(F.col("text")).alias("label")))
+    keys = raw.where("n IS NULL").select("rec_id", "label").unionByName(df.select("rec_id", leading_name(beginning(F.col("text"))).alias("label")))
     who = assign_labels(keys, alias)
     by_label = who.withColumnsRenamed({"rec_id": "r1", "label": "l1", "who": "w1"})
     by_lead = who.withColumnsRenamed({"rec_id": "r2", "label": "l2", "who": "w2"})
@@ -43,9 +44,9 @@ def spoken_segments(df: DataFrame, alias: DataFrame) -> DataFrame:
     return joined.select(
         "seg_id", "rec_id", "s", "e", "ingested_at",
         F.coalesce(speaker_name("number"), F.col("w1"), speaker_name("lead_number"), F.col("w2")).alias("who"),
-        clean(F.when(named, F.col("speech_named")).otherwise(F.col("speech"))).alias("speech"),
+        F.when(named, F.col("body_named")).otherwise(F.col("body")).alias("body"),
         F.when(named, F.col("words_named")).otherwise(F.col("words")).alias("words"),
-    ).where("who IS NOT NULL AND words").drop("words")
+    ).where("who IS NOT NULL AND words").drop("words").withColumn("speech", clean(speech(F.col("body")))).drop("body")
 
 
 def turn_parts(segments: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
