@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,3 +31,8 @@ def valid_times(start_ms: Column | str, end_ms: Column | str) -> Column:
 def collapsed(text: Column | str) -> Column:
     """White space runs made one space, none at the ends."""
     return F.regexp_replace(F.regexp_replace(col(text), r"(?U)\s+", " "), r"^ | $", "")
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
