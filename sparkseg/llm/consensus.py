@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from sparkseg.functions.columns import let
 from sparkseg.llm.spoken import clean, speech, with_speech
 from sparkseg.session import checkpointed
 
@@ -52,8 +53,8 @@ def _pairs(text: Column) -> Column:
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}'’]+", " ")
     spaced = F.regexp_replace(plain, r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー])", " $1 ")
     words = F.filter(F.split(spaced, " +"), lambda w: w != "")
-    left, right = F.concat(F.array(F.lit("^")), words), F.concat(words, F.array(F.lit("$")))
-    return F.array_distinct(F.zip_with(left, right, lambda a, b: F.concat_ws(" ", a, b)))
+    ends = F.array(F.lit("^")), F.array(F.lit("$"))
+    return let(words, lambda w: F.array_distinct(F.zip_with(F.concat(ends[0], w), F.concat(w, ends[1]), lambda a, b: F.concat_ws(" ", a, b))))
 
 
 def transcript_votes(segments: DataFrame, text: str = "text", others: tuple[str, ...] = ("text_whisper", "text_parakeet", "text_canary")) -> DataFrame:
@@ -67,21 +68,26 @@ def transcript_votes(segments: DataFrame, text: str = "text", others: tuple[str,
     read = with_speech(segments.select("seg_id", *[F.col(c) for c in {text, *others}]), text)
     for c in others:
         read = read.withColumn(c, _pairs(clean(F.coalesce(speech(F.col(c)), F.lit("")))))
-    given = reduce(lambda a, b: a + b, [(F.size(c) > 1).cast("int") for c in others])
+    named = F.col("lead_name").isNotNull()
+    read = read.withColumn("own", _pairs(clean(F.coalesce(speech(F.col("body")), F.lit("")))))
+    read = read.withColumn("own_named", F.when(named, _pairs(clean(F.coalesce(speech(F.col("body_named")), F.lit(""))))))
     pooled = F.flatten(F.array(*[F.when(F.size(c) > 1, F.col(c)).otherwise(F.array().cast("array<string>")) for c in others]))
-    read = read.withColumn("given", given).where("given >= 2").withColumn("own", _pairs(clean(F.coalesce("speech", F.lit(""))))).withColumn("own_named", _pairs(clean(F.coalesce("speech_named", F.lit("")))))
-    read = read.withColumn("any", F.array_distinct(pooled))
-    common = F.array_distinct(F.concat(*[F.array_intersect(a, b) for i, a in enumerate(others) for b in others[i + 1 :]]))
-    read = read.withColumn("shared", common)
+    common = F.concat(*[F.array_intersect(a, b) for i, a in enumerate(others) for b in others[i + 1 :]])
+    given = reduce(lambda a, b: a + b, [(F.size(c) > 1).cast("int") for c in others])
+    read = read.select("seg_id", "own", "own_named", given.alias("given"), F.array_distinct(pooled).alias("any"), F.array_distinct(common).alias("shared"))
+    for own in ("own", "own_named"):
+        read = read.withColumn(f"extra_{own}", F.size(F.array_except(own, "any"))).withColumn(f"missed_{own}", F.size(F.array_except("shared", own)))
 
     def verdict(own: str) -> Column:
-        extra, missed = F.size(F.array_except(own, "any")), F.size(F.array_except("shared", own))
+        extra, missed = F.col(f"extra_{own}"), F.col(f"missed_{own}")
         share = missed / F.greatest(F.size("shared"), F.lit(1))
         return F.when((extra == 0) & (missed == 0), 0).when((share > REJECT_SHARE) | (F.size(own) <= 1), 2).otherwise(1)
 
-    best = F.least(verdict("own"), verdict("own_named"))
-    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), best + 1)
-    return read.groupBy("seg_id").agg(F.min_by(label, best).alias("label")).select("seg_id", F.lit(TRANSCRIPTS).alias("judge"), "label")
+    best = F.when(F.col("own_named").isNull(), verdict("own")).otherwise(F.least(verdict("own"), verdict("own_named")))
+    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), F.col("best") + 1)
+    # the verdict is tested behind the aggregation: a filter before it would be run ahead of the caller's join
+    votes = read.select("seg_id", F.when(F.col("given") >= 2, best).alias("best")).groupBy("seg_id").agg(F.min("best").alias("best"))
+    return votes.where("best IS NOT NULL").select("seg_id", F.lit(TRANSCRIPTS).alias("judge"), label.alias("label"))
 
 
 def _chosen(totals: dict[str, Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkseg.functions.columns import collapsed
+from sparkseg.functions.columns import collapsed, let
 from sparkseg.functions.speakers import label_key
 
 _CLOCK = r"\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?"
@@ -85,9 +85,12 @@ _SPANISH = r"(?iu)(?<!\p{L})(?:el|los|las|una|que|del|y|la|es)(?!\p{L})"
 
 def clean(spoken: Column) -> Column:
     """``speech`` without the doubtful hesitations that the text's language doesn't have as words."""
-    english = F.regexp_replace(spoken, _spaced(["um", "er"], _TAIL), " ")
-    spanish = F.regexp_replace(spoken, _spaced(["em"], _TAIL), " ")
-    return collapsed(F.when(spoken.rlike(_ENGLISH), english).when(spoken.rlike(_SPANISH), spanish).otherwise(spoken))
+    english, spanish = _spaced(["um", "er"], _TAIL), _spaced(["em"], _TAIL)
+
+    def cleaned(x: Column) -> Column:
+        return F.when(x.rlike(_ENGLISH), F.regexp_replace(x, english, " ")).when(x.rlike(_SPANISH), F.regexp_replace(x, spanish, " ")).otherwise(x)
+
+    return collapsed(let(spoken, cleaned))
 
 
 #: The beginning of a word that is no hesitation.
@@ -97,8 +100,7 @@ _ANY_UNSPACED = rf"[{''.join(sorted({w[0] for w in UNSPACED + UNSPACED_BEFORE_MA
 
 def has_words(text: Column) -> Column:
     """Whether a text has a letter or digit besides marks and hesitations, doubtful ones included."""
-    bare = unmarked(text)
-    calm = F.when(bare.rlike(_ANY_UNSPACED), F.regexp_replace(bare, _HESITATION, " ")).otherwise(bare)
+    calm = let(unmarked(text), lambda bare: F.when(bare.rlike(_ANY_UNSPACED), F.regexp_replace(bare, _HESITATION, " ")).otherwise(bare))
     return F.coalesce(calm.rlike(_WORD), F.lit(False))
 
 
