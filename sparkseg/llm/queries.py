@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkseg.llm.consensus import chance_corrected, consensus, judged, latest_votes, reliability
+from sparkseg.llm.packing import fill, pack
 from sparkseg.llm.splitting import split_segments
+from sparkseg.llm.tokenizer import encode_corpus
 from sparkseg.llm.turns import spoken_segments, turn_texts, turns
 from sparkseg.session import table
 
@@ -66,7 +68,22 @@ def p5_agreement(spark: SparkSession, folder: str) -> DataFrame:
     return chance_corrected(latest_votes(table(spark, folder, "seg_label")))
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement}
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of each document."""
+    return encode_corpus(table(spark, folder, "documents"))
+
+
+def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Which tokens of which document lie in which container of 2 048."""
+    return pack(table(spark, folder, "documents"))
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full each container is."""
+    return fill(p7_packed(spark, folder))
+
+
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_fill": p7_fill}
 
 SQL = {
     "p5_agreement": """
