@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkseg.llm.consensus import chance_corrected, consensus, judged, latest_votes, reliability
 from sparkseg.llm.packing import fill, pack
+from sparkseg.llm.spam import spam_pages
 from sparkseg.llm.splitting import split_segments
 from sparkseg.llm.tokenizer import encode_corpus
 from sparkseg.llm.turns import spoken_segments, turn_texts, turns
@@ -83,7 +84,17 @@ def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
     return fill(p7_packed(spark, folder))
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_fill": p7_fill}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents most of whose text is repeated keywords, links or tags."""
+    return spam_pages(table(spark, folder, "documents")).where("spam").select("doc_id")
+
+
+def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of each document beside the rate of its host."""
+    return spam_pages(table(spark, folder, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_found": p8_found, "p8_scores": p8_scores}
 
 SQL = {
     "p5_agreement": """
