@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkseg.llm.consensus import chance_corrected, consensus, judged, latest_votes, reliability
+from sparkseg.llm.language import identify, mislabelled
 from sparkseg.llm.packing import fill, pack
 from sparkseg.llm.spam import spam_pages
 from sparkseg.llm.splitting import split_segments
@@ -42,6 +43,16 @@ def p3_turns(spark: SparkSession, folder: str) -> DataFrame:
     return turn_texts(spoken_segments(_segments(spark, folder), table(spark, folder, "speaker_alias")))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of segments whose label is missing or wrong, or that are mixed."""
+    return mislabelled(identify(_segments(spark, folder), texts=False))
+
+
+def p4_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Language and confidence of each part of each segment."""
+    return identify(_segments(spark, folder)).dropDuplicates(["seg_id", "part"])
+
+
 def _votes(spark: SparkSession, folder: str) -> DataFrame:
     segments = table(spark, folder, "seg_result").select("seg_id", "text", "text_whisper", "text_parakeet", "text_canary")
     return judged(table(spark, folder, "seg_label"), segments)
@@ -94,7 +105,7 @@ def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
     return spam_pages(table(spark, folder, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_found": p8_found, "p8_scores": p8_scores}
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p4_found": p4_found, "p4_parts": p4_parts, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_found": p8_found, "p8_scores": p8_scores}
 
 SQL = {
     "p5_agreement": """
