@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkseg.llm.spoken import HESITATIONS, UNSPACED, has_words, unmarked, with_speech
+from sparkseg.llm.spoken import ALSO_WORDS, HESITATIONS, UNSPACED, unmarked, with_speech
 from sparkseg.operators.skew import salted_left_join
 
 LANGUAGES = ("en", "ko", "es", "ja", "zh", "fr", "de", "it", "pt", "ru", "ar", "hi")
@@ -71,7 +71,7 @@ _SCRIPTS = (
     ("han", "㐀-䶿一-鿿", ("zh", "ja")),
     ("cyrillic", "Ѐ-ӿ", ("ru",)),
     ("arabic", "؀-ۿ", ("ar",)),
-    ("devanagari", "ऀ-ॿ", ("hi",)),
+    ("devanagari", "ऀ-ॣ०-ॿ", ("hi",)),
 )
 # beside other scripts, Latin letters count in whole words of small letters only: names don't
 _FIND = {name: re.compile(f"[{span}]") for name, span, _ in _SCRIPTS} | {"small": re.compile(r"(?<![^\s\"'(,、，])[a-zß-ɏ]+(?![^\s\"'),.!?…、，。？])")}
@@ -80,9 +80,10 @@ _CANDIDATES = {name: languages for name, _, languages in _SCRIPTS}
 # dots of hesitation end no sentence
 _SENTENCE = re.compile(r"(?:(?<=[^.][.])(?=\s)|(?<=[!?।؟])(?=\s)|(?<=[。！？]))[\s\"'»”」)]*(?=\S)")
 _LATIN_RUN = re.compile(rf"((?:(?<![^\s\"'(])[A-Za-zÀ-ɏ'’,-]+[.!?,;]*(?:\s+|$)){{{LATIN_RUN},}})")
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[ऀ-ॿ]+")
+_TOKEN = re.compile(r"[ऀ-ॣ०-ॿ]+|[^\W\d_]+(?:['’][^\W\d_]+)*")
 _QUIET = frozenset(w for w in HESITATIONS + ["um", "er"])
-_UNSPACED = re.compile("|".join(UNSPACED) + "|[嗯呃额唔](?=[…、，,.。])")
+_DOUBTFUL = frozenset(ALSO_WORDS)
+_UNSPACED = re.compile("|".join(UNSPACED) + r"|[嗯呃额唔](?=[…、，,.。\s]|$)")
 
 
 def declared(language: Column) -> Column:
@@ -138,6 +139,9 @@ def grams(word: str) -> list[str]:
     return [*word, *(padded[i : i + n] for n in range(2, LONGEST_GRAM + 1) for i in range(len(padded) - n + 1))]
 
 
+_INDEX = {code: k for k, code in enumerate(LANGUAGES)}
+
+
 class Profiles:
     """Rank of each n-gram in each language; n-grams are numbered by their overall frequency."""
 
@@ -168,14 +172,14 @@ class Profiles:
             self.words[word] = found
         return found
 
-    def distances(self, texts: list[list[str]]) -> np.ndarray:
-        """Out-of-place distance of each text, a list of words, to each language.
+    def distances(self, texts: list[list[str]], languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
+        """Out-of-place distance of each text, a list of words, to each of the languages.
 
         A text's n-grams are ranked by frequency, ties by overall frequency; each adds the
         difference of its ranks in units of ``PROFILE``, 1 if the profile lacks it. N-grams that
         no profile has would add 1 to all and are left out.
         """
-        out = np.zeros((len(texts), len(LANGUAGES)))
+        out = np.zeros((len(texts), len(languages)))
         parts = [(i, self.known(w)) for i, words in enumerate(texts) for w in words]
         if not parts:
             return out
@@ -187,33 +191,27 @@ class Profiles:
         keys, count = np.unique(owner * size + each, return_counts=True)
         owner, gram = keys // size, keys % size
         # unique keys are ordered by text and number already: a stable sort by count keeps that among equals
-        order = np.lexsort((-count, owner))
+        order = np.argsort(owner * (int(count.max()) + 1) - count, kind="stable")
         owner, gram = owner[order], gram[order]
-        first = np.searchsorted(owner, owner)
-        place = np.arange(len(owner)) - first
-        apart = np.minimum(np.abs(self.rank[gram] - place[:, None]), PROFILE) / PROFILE
-        apart[self.rank[gram] == PROFILE] = 1.0
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        out[owner[starts]] = np.add.reduceat(apart, starts, axis=0)
+        place = np.arange(len(owner)) - np.repeat(starts, np.diff(np.r_[starts, len(owner)]))
+        for k, code in enumerate(languages):
+            rank = self.rank[gram, _INDEX[code]]
+            apart = np.where(rank == PROFILE, PROFILE, np.minimum(np.abs(rank - place), PROFILE))
+            out[owner[starts], k] = np.add.reduceat(apart, starts) / PROFILE
         return out
 
 
-_INDEX = {code: k for k, code in enumerate(LANGUAGES)}
-_LATIN = np.array([_INDEX[c] for c in _CANDIDATES["latin"]])
-_NONE = np.full(len(LANGUAGES), np.inf)
-
-
 def _costs(profiles: Profiles, found: list[tuple[str, int, float]], words: list[list[str]]) -> np.ndarray:
     """Nats against each language for each sentence; infinite for those of another script."""
     costs = np.full((len(found), len(LANGUAGES)), np.inf)
-    open_ = [i for i, (name, _, _) in enumerate(found) if len(_CANDIDATES[name]) > 1]
-    near = profiles.distances([words[i] for i in open_])
-    for row, i in enumerate(open_):
-        ks = [_INDEX[c] for c in _CANDIDATES[found[i][0]]]
-        costs[i, ks] = SCALE * near[row, ks]
+    rows: dict[str, list[int]] = defaultdict(list)
     for i, (name, _, _) in enumerate(found):
-        if len(_CANDIDATES[name]) == 1:
-            costs[i, _INDEX[_CANDIDATES[name][0]]] = 0.0
+        rows[name].append(i)
+    for name, own in rows.items():
+        languages = _CANDIDATES[name]
+        near = SCALE * profiles.distances([words[i] for i in own], languages) if len(languages) > 1 else 0.0
+        costs[np.ix_(own, [_INDEX[c] for c in languages])] = near
     return costs
 
 
@@ -260,6 +258,10 @@ def parts_of(texts: list[str], priors: list[str | None], labels: list[str | None
             kept.append(s)
             found.append(about)
             words.append(own)
+        if len(found) - begin == 1 and _DOUBTFUL.issuperset(words[-1]):
+            # nothing but sounds that may be hesitations
+            kept = []
+            del found[begin:], words[begin:]
         cut.append(kept)
         spans.append((begin, len(found)))
     costs = _costs(profiles, found, words)
@@ -324,20 +326,33 @@ def build_profiles(rows: list[tuple[str, str]]) -> Profiles:
 
 
 def readable(df: DataFrame) -> DataFrame:
-    """Rows (seg_id, rec_id, label, body) of the segments with spoken words.
+    """Rows (seg_id, rec_id, label, body): each text without marks and label, and its declared code.
 
-    ``label`` is the declared language's code. What looks like a name label at the beginning
-    is left out, whether or not the recording has the name: it tells nothing about the language.
+    What looks like a name label at the beginning is left out, whether or not the recording has
+    the name: it tells nothing about the language.
     """
-    read = with_speech(df.select("seg_id", "rec_id", declared(F.col("language")).alias("label"), "text"))
-    body = read.select("seg_id", "rec_id", "label", unmarked(F.col("body_named")).alias("body"))
-    return body.withColumn("words", has_words(F.col("body"))).where("words").drop("words")
+    read = with_speech(df.where("text IS NOT NULL").select("seg_id", "rec_id", declared(F.col("language")).alias("label"), "text"))
+    return read.select("seg_id", "rec_id", "label", unmarked(F.col("body_named")).alias("body"))
 
 
 def trained(df: DataFrame, sample: int = SAMPLE) -> Profiles:
-    """Profiles from at most ``sample`` labelled segments, the same on every run."""
-    rows = df.where("text IS NOT NULL").where(declared(F.col("language")).isNotNull()).select("seg_id", "rec_id", "language", "text").orderBy(F.xxhash64("seg_id"), "text").limit(sample)
-    return build_profiles([(r["body"], r["label"]) for r in readable(rows).select("body", "label").collect()])
+    """Profiles from at most ``sample`` labelled segments, the same on every run.
+
+    They are those of the least hashes of seg_id. A share of the rows that holds them almost
+    surely is cut out by hash before the sort, so that the sort doesn't grow with the table.
+    """
+    labelled = df.where("text IS NOT NULL").where(declared(F.col("language")).isNotNull())
+    share = 2.0 * sample / max(1, labelled.count())
+    hashed = labelled.select("seg_id", "rec_id", "language", "text", F.xxhash64("seg_id").alias("h"))
+
+    def least(rows: DataFrame) -> list:
+        return readable(rows.orderBy("h", "text").limit(sample)).select("body", "label").collect()
+
+    edge = int(-(2**63) + min(1.0, share) * (2**64 - 1))
+    rows = least(hashed.where(F.col("h") <= edge))
+    if len(rows) < sample and share < 1:
+        rows = least(hashed)
+    return build_profiles([(r["body"], r["label"]) for r in rows])
 
 
 def identify(df: DataFrame, sample: int = SAMPLE, texts: bool = True) -> DataFrame:

@@ -143,18 +143,24 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
     The sample is fixed by the hash of the key, so it is the same on every run.
     """
     hashed = df.where(F.length(F.trim(text)) > 0).select(F.xxhash64(key).alias("h"), text)
-    edge = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h").alias("edge"), F.count("*").alias("n")).first()
-    if edge["edge"] is None:
-        return None
-    # equal keys have equal hashes: the limit holds for them too
-    rows = hashed.where(F.col("h") <= edge["edge"]).orderBy("h").limit(sample).select(text)
+    share = 2.0 * sample / max(1, df.count())
+
+    def least(rows: DataFrame) -> list:
+        return [r["x"] for r in rows.orderBy("h", text).limit(sample).select(text).mapInArrow(run, "x array<double>").collect()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in [pa.array([r.tolist() for r in _feature_rows(b.column(0).to_pylist())], type=pa.list_(pa.float64()))]:
                 yield pa.RecordBatch.from_arrays([row], names=["x"])
 
-    x = np.array([r["x"] for r in rows.mapInArrow(run, "x array<double>").collect()], dtype=np.float64)
+    # a share that holds them almost surely is cut out by hash, so that the sort doesn't grow with the table
+    edge = int(-(2**63) + min(1.0, share) * (2**64 - 1))
+    found = least(hashed.where(F.col("h") <= edge))
+    if len(found) < sample and share < 1:
+        found = least(hashed)
+    if not found:
+        return None
+    x = np.array(found, dtype=np.float64)
     y = weak_labels(x)
     known = y >= 0
     if not (y == 1).any() or not (y == 0).any():

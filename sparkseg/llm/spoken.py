@@ -28,7 +28,7 @@ HESITATIONS = [
     *"음 어 으음 에 음음".split(),
     *"э эм ммм мм э-э ээ эээ".split(),
     *"امم آآ ممم إممم اممم".split(),
-    *"उम्म म अं हम्म".split(),
+    *"उम्म अम्म हम्म म अं ऊँ".split(),
 ]
 # fixed values: hesitation sounds that are also words of another language (German and Portuguese um, Portuguese em)
 ALSO_WORDS = "um em er".split()
