@@ -36,3 +36,8 @@ def collapsed(text: Column | str) -> Column:
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` worked out once, however often it is used."""
     return F.transform(F.array(value), use)[0]
+
+
+def hash_edge(share: float) -> int:
+    """The 64-bit hash up to which about ``share`` of all hashes lie; the greatest for 1 and more."""
+    return min(2**63 - 1, int(min(share, 1.0) * 2.0**53) * 2**11 - 2**63)
