@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkseg.functions.columns import hash_edge
 from sparkseg.llm.spoken import ALSO_WORDS, HESITATIONS, UNSPACED, unmarked, with_speech
 from sparkseg.operators.skew import salted_left_join
 
@@ -348,8 +349,7 @@ def trained(df: DataFrame, sample: int = SAMPLE) -> Profiles:
     def least(rows: DataFrame) -> list:
         return readable(rows.orderBy("h", "text").limit(sample)).select("body", "label").collect()
 
-    edge = int(-(2**63) + min(1.0, share) * (2**64 - 1))
-    rows = least(hashed.where(F.col("h") <= edge))
+    rows = least(hashed.where(F.col("h") <= hash_edge(share)))
     if len(rows) < sample and share < 1:
         rows = least(hashed)
     return build_profiles([(r["body"], r["label"]) for r in rows])

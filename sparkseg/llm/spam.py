@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkseg.llm.forest import Forest
+from sparkseg.functions.columns import hash_edge
 from sparkseg.operators.skew import salted_left_join
 from sparkseg.session import checkpointed
 
@@ -154,8 +155,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
                 yield pa.RecordBatch.from_arrays([row], names=["x"])
 
     # a share that holds them almost surely is cut out by hash, so that the sort doesn't grow with the table
-    edge = int(-(2**63) + min(1.0, share) * (2**64 - 1))
-    found = least(hashed.where(F.col("h") <= edge))
+    found = least(hashed.where(F.col("h") <= hash_edge(share)))
     if len(found) < sample and share < 1:
         found = least(hashed)
     if not found:
