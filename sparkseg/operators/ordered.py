@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BUCKET_MS = 3_600_000
+#: Rows that a fold hands back at once.
+BATCH = 5000
 
 
 def time_bucket(time_ms: Column | str, bucket_ms: int = BUCKET_MS) -> Column:
@@ -82,15 +86,16 @@ def fold_sorted(df: DataFrame, key: list[str], order: list[str], fold: Callable[
     names = [f.split()[0].strip("`") for f in schema.split(",")]
     columns = df.columns
     at = [columns.index(k) for k in key]
+    shape = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                yield from zip(*[b[c].astype(object).where(b[c].notna(), None) if b[c].dtype != object else b[c] for c in columns])
-
-        source = rows()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source = (row for b in batches for row in zip(*[c.to_pylist() for c in b.columns]))
         row = next(source, None)
         out: list[tuple] = []
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], type=shape.field(i).type) for i in range(len(names))], names=names)
+
         while row is not None:
             this = tuple(row[i] for i in at)
             after: list[tuple | None] = [None]
@@ -104,15 +109,15 @@ def fold_sorted(df: DataFrame, key: list[str], order: list[str], fold: Callable[
                     yield r
 
             rest = group()
-            for made in fold(this, rest):
-                out.append(made)
-                if len(out) >= 5000:
-                    yield pd.DataFrame(out, columns=names)
+            for one in fold(this, rest):
+                out.append(one)
+                if len(out) >= BATCH:
+                    yield made()
                     out = []
             for _ in rest:
                 pass
             row = after[0]
         if out:
-            yield pd.DataFrame(out, columns=names)
+            yield made()
 
-    return df.repartition(*key).sortWithinPartitions(*key, *order).mapInPandas(run, schema)
+    return df.repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
