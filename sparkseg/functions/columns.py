@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# fixed value: white space of any kind, as a class that is faster than the Unicode one of regular expressions
+WHITE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -30,7 +34,7 @@ def valid_times(start_ms: Column | str, end_ms: Column | str) -> Column:
 
 def collapsed(text: Column | str) -> Column:
     """White space runs made one space, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(col(text), r"(?U)\s+", " "), r"^ | $", "")
+    return F.regexp_replace(F.regexp_replace(col(text), f"{WHITE}+", " "), r"^ | $", "")
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

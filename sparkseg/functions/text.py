@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkseg.functions.columns import col
+from sparkseg.functions.columns import WHITE, col
 
 # fixed value: the characters that don't count
 UNCOUNTED = ",.!?\"'，。！？“”‘’ "
@@ -21,17 +21,17 @@ def char_count(text: Column | str) -> Column:
 
 def stripped(text: Column | str) -> Column:
     """The text without white space at its ends, of any kind."""
-    return F.regexp_replace(F.regexp_replace(col(text), r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    return F.regexp_replace(F.regexp_replace(col(text), f"^{WHITE}+", ""), f"{WHITE}+$", "")
 
 
 def has_text(text: Column | str) -> Column:
     """Whether a text has more than white space; false for null."""
-    return F.coalesce(stripped(text) != "", F.lit(False))
+    return F.coalesce(col(text).rlike(WHITE.replace("[", "[^", 1)), F.lit(False))
 
 
 def tokens(text: Column | str) -> Column:
     """Words between white space of any kind; none for a blank text, null for null."""
-    return F.filter(F.split(col(text), r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(col(text), f"{WHITE}+"), lambda w: w != "")
 
 
 def display_time(ms: Column | str) -> Column:

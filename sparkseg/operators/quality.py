@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkseg.functions.columns import col
+from sparkseg.functions.columns import col, let
 from sparkseg.functions.text import char_count, has_text, tokens
 from sparkseg.functions.vectors import mos_corrected
 
@@ -16,18 +16,25 @@ GRAM, MOST = 15, 5
 def kept_by_repetition(df: DataFrame, key: str, text: str = "text", gram: int = GRAM, most: int = MOST) -> DataFrame:
     """Rows (key, keep): false for blank texts and those with a run of ``gram`` words more than ``most`` times.
 
-    Texts of fewer words are kept; a null text is blank. ``key`` must tell rows apart.
+    Texts of fewer words are kept; a null text is blank; repeated rows stay.
 
-    Runs are counted as hashes of 128 bits, so that long texts shuffle little, and only of
-    texts with enough words for ``most + 1`` runs. Counting is by text and run, pre-aggregated: no
-    task holds the runs of a long text.
+    A text is a row, so its runs are counted where it is: words are hashed (64 bits), hashes of
+    runs are joined to those of runs twice as long, and of the sorted hashes of the full runs one
+    that equals the one ``most`` places on occurs too often. Nothing is shuffled.
     """
-    words = df.select(key, has_text(text).alias("some"), tokens(text).alias("w"))
-    runs = F.transform(F.sequence(F.lit(1), F.size("w") - gram + 1), lambda i: F.concat_ws(" ", F.slice("w", i, gram)))
-    long = words.where(F.size("w") >= gram + most).select(key, F.explode(runs).alias("run"))
-    hashed = long.select(key, F.xxhash64("run").alias("a"), F.hash("run", F.lit(1)).alias("b"))
-    often = hashed.groupBy(key, "a", "b").agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.col(key).alias("__key")).distinct()
-    return words.select(key, "some").join(often, F.col(key) == F.col("__key"), "left").select(key, (F.col("some") & F.col("__key").isNull()).alias("keep"))
+    words = df.select(key, has_text(text).alias("filled"), tokens(text).alias("w"))
+
+    def joined(r: Column, apart: int) -> Column:
+        return let(r, lambda x: F.zip_with(F.slice(x, 1, F.size(x) - apart), F.slice(x, apart + 1, F.size(x) - apart), lambda p, q: F.xxhash64(p, q)))
+
+    def often(w: Column) -> Column:
+        runs, length = F.transform(w, lambda x: F.xxhash64(x)), 1
+        while length < gram:
+            step = min(length, gram - length)
+            runs, length = joined(runs, step), length + step
+        return let(F.array_sort(runs), lambda r: F.exists(F.zip_with(F.slice(r, 1, F.size(r) - most), F.slice(r, most + 1, F.size(r) - most), lambda x, y: x == y), lambda same: same))
+
+    return words.select(key, (F.col("filled") & ~F.when(F.size("w") >= gram + most, often(F.col("w"))).otherwise(F.lit(False))).alias("keep"))
 
 
 def with_duration_bounds(df: DataFrame, duration: Column | str, text: str = "text") -> DataFrame:
