@@ -148,9 +148,14 @@ def diarization_rows(lines: DataFrame, line: str = "line", place: str = "place")
     return read.withColumn("segment", display_range("s", "e")).withColumn("label", F.char(F.lit(65) + F.col(place))).withColumn("speaker", speaker_name(number.cast("bigint")))
 
 
+def _whole(text: Column, schema: str) -> Column:
+    """A text that is JSON from end to end, else null."""
+    return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {schema}", {"allowSingleQuotes": "false"})["v"]
+
+
 def json_array(text: Column | str, schema: str) -> Column:
     """The array between the first [ and the last ] of a text; null if there is none or it isn't JSON."""
-    return F.from_json(F.nullif(F.regexp_extract(col(text), r"(?s)\[.*\]", 0), F.lit("")), schema)
+    return _whole(F.nullif(F.regexp_extract(col(text), r"(?s)\[.*\]", 0), F.lit("")), schema)
 
 
 def json_block(text: Column | str, schema: str) -> Column:
@@ -168,6 +173,6 @@ def json_block(text: Column | str, schema: str) -> Column:
 
         return s.map(one)
 
-    parsed = F.from_json(inner, schema)
+    parsed = _whole(inner, schema)
     again = F.when(parsed.isNull(), inner)
-    return F.coalesce(parsed, F.from_json(literal(again), schema), F.array().cast(T._parse_datatype_string(schema)))
+    return F.coalesce(parsed, _whole(literal(again), schema), F.array().cast(T._parse_datatype_string(schema)))
