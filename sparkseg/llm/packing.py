@@ -8,11 +8,12 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparkseg.llm.tokenizer import BATCH, FOLDER, VOCABULARY, broadcast_model, encoder
 from sparkseg.session import checkpointed
@@ -141,13 +142,14 @@ def pack(df: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", text: str
     rows = items.count()
     parallel = items.sparkSession.sparkContext.defaultParallelism
     parts = max(1, math.ceil(rows / PARTITION_ITEMS), min(parallel, rows // LEAST_ITEMS))
-    kind = df.schema[key].dataType.simpleString()
+    field = items.schema[key]
+    of_key = to_arrow_schema(T.StructType([field])).field(0).type
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
         shelf, waiting = Shelf(capacity, OPEN), []
 
-        def place(window: list[tuple]) -> pd.DataFrame:
+        def place(window: list[tuple]) -> pa.RecordBatch:
             out = []
             for i, size in window:
                 whole, rest = divmod(size, capacity)
@@ -158,11 +160,11 @@ def pack(df: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", text: str
                     out.append((None, i, whole, whole * capacity, rest))
             out.sort(key=lambda r: -r[4])
             boxed = [r if r[0] is not None else (base + shelf.put(r[4]), *r[1:]) for r in out]
-            done = pd.DataFrame(boxed, columns=["container", key, "piece", "first", "tokens"])
-            return done.astype({"container": "int64", "piece": "int64", "first": "int64", "tokens": "int64"})
+            types = [pa.int64(), of_key, pa.int64(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in boxed], type=t) for k, t in enumerate(types)], names=["container", key, "piece", "first", "tokens"])
 
         for b in batches:
-            waiting += zip(b[key].astype(object).where(b[key].notna(), None), b["tokens"].tolist())
+            waiting += zip(b.column(0).to_pylist(), b.column(1).to_pylist())
             while len(waiting) >= WINDOW:
                 yield place(waiting[:WINDOW])
                 del waiting[:WINDOW]
@@ -171,7 +173,7 @@ def pack(df: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", text: str
 
     order = ["curve", key, "tokens"]
     placed = items.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return placed.mapInPandas(run, f"container bigint, `{key}` {kind}, piece bigint, first bigint, tokens bigint")
+    return placed.select(key, "tokens").mapInArrow(run, f"container bigint, `{key}` {field.dataType.simpleString()}, piece bigint, first bigint, tokens bigint")
 
 
 def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

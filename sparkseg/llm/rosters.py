@@ -64,27 +64,47 @@ def _blocks(key: str) -> F.Column:
 
 
 def _assigned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Assignments of recordings, whose pairs come together, one recording in memory at a time."""
+    """Assignments of recordings, whose pairs come together, one recording in memory at a time.
+
+    Labels and names that no chain of likenesses connects are assigned apart.
+    """
 
     def rows() -> Iterator[tuple]:
         for b in batches:
             yield from zip(b.rec_id, b.label, b.alias_key, b.alias_speaker, b.likeness)
 
     for rec, group in groupby(rows(), key=lambda r: r[0]):
-        pairs = list(group)
-        labels, names = {}, {}
-        for _, label, name, _, _ in pairs:
-            labels.setdefault(label, len(labels))
-            names.setdefault(name, len(names))
-        speaker = {name: who for _, _, name, who, _ in pairs}
-        cost = np.full((len(labels), len(names)), 1.0)
-        for _, label, name, _, likeness in pairs:
-            cost[labels[label], names[name]] = 1 - likeness
-        order = list(names)
-        out = [(rec, label, speaker[order[j]]) for label, j in zip(labels, cheapest(cost)) if j >= 0 and cost[labels[label], j] <= 1 - SIMILAR]
+        out = []
+        for pairs in _components([r[1:] for r in group]):
+            labels = list(dict.fromkeys(p[0] for p in pairs))
+            names = list(dict.fromkeys(p[1] for p in pairs))
+            speaker = {name: who for _, name, who, _ in pairs}
+            cost = np.full((len(labels), len(names)), 1.0)
+            for label, name, _, likeness in pairs:
+                cost[labels.index(label), names.index(name)] = 1 - likeness
+            out += [(rec, label, speaker[names[j]]) for i, (label, j) in enumerate(zip(labels, cheapest(cost))) if j >= 0 and cost[i, j] <= 1 - SIMILAR + 1e-9]
         yield pd.DataFrame(out, columns=["rec_id", "label", "who"])
 
 
+def _components(pairs: list[tuple]) -> list[list[tuple]]:
+    """Pairs (label, name, ...) by connected labels and names, each to be assigned by itself."""
+    root: dict[tuple, tuple] = {}
+
+    def find(x: tuple) -> tuple:
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for label, name, *_ in pairs:
+        root[find(("label", label))] = find(("name", name))
+    parts: dict[tuple, list[tuple]] = {}
+    for p in pairs:
+        parts.setdefault(find(("label", p[0])), []).append(p)
+    return list(parts.values())
+
+
 def assign_labels(labels: DataFrame, alias: DataFrame) -> DataFrame:
     """Rows (rec_id, label, who): the speaker that each label of a recording means.
 

@@ -19,6 +19,8 @@ from sparkseg.session import checkpointed
 
 #: Documents of the sample on which the trees are grown: those of the least hashes of the key.
 SAMPLE = 4000
+#: Clear pages of each kind without which no trees are grown: the rules alone decide in so small a table.
+LEAST_OF_EACH = 20
 #: Weight of the host's rate beside the page's own, and pages of average rate added to each host.
 HOST_WEIGHT, HOST_SMOOTHING = 0.1, 20.0
 SPAM = 0.5
@@ -139,7 +141,7 @@ def _feature_rows(texts: list[str | None]) -> np.ndarray:
 
 
 def train(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Forest | None:
-    """Trees grown on the weak labels of at most ``sample`` documents; None if one kind is absent.
+    """Trees grown on the weak labels of at most ``sample`` documents; None if either kind is rare.
 
     The sample is fixed by the hash of the key, so it is the same on every run.
     """
@@ -163,7 +165,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
     x = np.array(found, dtype=np.float64)
     y = weak_labels(x)
     known = y >= 0
-    if not (y == 1).any() or not (y == 0).any():
+    if min((y == 1).sum(), (y == 0).sum()) < LEAST_OF_EACH:
         return None
     return Forest(x[known], y[known].astype(np.float64))
 
