@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of ``folder``."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, whose Python workers can import this package: it is sent to them once, as a file."""
+    context = spark.sparkContext
+    here = Path(__file__).resolve().parent
+    if context.applicationId not in _SHIPPED and here.is_dir():
+        path = Path(tempfile.mkdtemp(prefix="package-")) / f"{here.name}.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(here.rglob("*.py")):
+                z.write(f, f.relative_to(here.parent))
+        context.addPyFile(str(path))
+        _SHIPPED.add(context.applicationId)
+    return spark
