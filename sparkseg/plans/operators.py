@@ -9,7 +9,7 @@ from sparkseg.functions import text as tx
 from sparkseg.functions import vectors as vx
 from sparkseg.functions.columns import let, millis
 from sparkseg.functions.models import halves, band_embedding, is_music
-from sparkseg.operators import ensemble, folds, overlaps, quality, segments, separation, voices
+from sparkseg.operators import enrich, ensemble, folds, overlaps, quality, segments, separation, voices
 from sparkseg.operators.ordered import ordered, time_bucket
 from sparkseg.plans.pipeline import process, settings_grid
 from sparkseg.sources import files, sinks
@@ -363,10 +363,22 @@ def pipeline_segments(spark, folder):
     return process(_sounds(spark, folder)).select("rec_id", "index", "s", "e", "speaker", "text")
 
 
+def standard_sounds(spark, folder):
+    made = enrich.standard_sounds(_sounds(spark, folder), RATE * 5)
+    return made.select("rec_id", F.size("standard.wave").cast("bigint").alias("n"), F.round("standard.gain_db", 3).alias("gain_db"))
+
+
+def window_scores(spark, folder):
+    """Scores of sounds by a stand-in model: level, peak and their mean."""
+    sounds = _sounds(spark, folder).withColumnRenamed("wave", "sound")
+    made = enrich.scored(sounds, lambda: (lambda w, r: (float(abs(w).mean()), float(abs(w).max()), 1.0)))
+    return made.select("rec_id", F.col("score.num_hops").cast("bigint").alias("num_hops"), F.round("score.sig_raw", 6).alias("sig_raw"), F.round("score.ovr", 6).alias("ovr"))
+
+
 QUERIES = {f.__name__: f for f in (
     segment_index, chunk_offsets, pad_boundaries, split_long, denest_running_max, silence_gaps, overlap_pairs, reference_segments, cut_by_speaker, chunk_ranges, max_gap_split, dedup_by_index, word_times,
     caption_context, speaker_tags, tagged_text, relabel, char_count, display_times, srt_parts, repetition_filter, repetition_filter_segments, iqr_filter, jaccard_trust, rover_slots, rover_first, majority_language,
     diarization_lines, json_arrays, json_blocks, audio_listing, audio_folders, cache_names, decode_todo, decoded_paths, resume_todo, progress_running, recording_metadata, result_documents, result_document_sizes,
     clip_names, separated_flags, cosine_neighbours, centroids, nearest_speaker, link_speakers, sound_levels, gain, matched_level, mos_scores, hop_windows, music_flags, latin_phrases, pronounced, safe_names, last_lines,
-    settings_sweep, overlap_repair, pipeline_segments,
+    settings_sweep, overlap_repair, pipeline_segments, standard_sounds, window_scores,
 )}

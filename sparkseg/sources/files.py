@@ -132,6 +132,12 @@ def to_do(all_: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return all_.join(done.select(F.col(key)).distinct(), key, "left_anti")
 
 
+def logged_seconds(lines: DataFrame, key: list[str], line: str = "line", place: str = "place") -> DataFrame:
+    """Rows (key, seconds): the last "Audio duration: x seconds" of each log, null for none."""
+    found = F.regexp_extract(line, r"Audio duration:\s*([0-9.]+)\s*seconds", 1)
+    return lines.groupBy(*key).agg(F.max_by(F.nullif(found, F.lit("")).try_cast("double"), F.when(found != "", F.col(place))).alias("seconds"))
+
+
 #: One line of a diarizer: start, end and speaker, between white space.
 LINE = r"^\s*(\S+)\s+(\S+)\s+[^_\s]*_(\d+)\s*$"
 
