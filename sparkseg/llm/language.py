@@ -18,11 +18,13 @@ from sparkseg.operators.skew import salted_left_join
 LANGUAGES = ("en", "ko", "es", "ja", "zh", "fr", "de", "it", "pt", "ru", "ar", "hi")
 #: Labelled segments from which the profiles are made: those of the least hashes of seg_id.
 SAMPLE = 12_000
-#: N-grams of a profile, which is also the distance of one that a profile lacks; longest n-gram.
+#: N-grams of a profile; longest n-gram.
 PROFILE, LONGEST_GRAM = 4000, 4
+#: Out-of-place distance of an n-gram that a profile lacks: several times that of any that it has.
+MISSING = 4 * PROFILE
 #: Share of an n-gram's frequency in the language that has it most, below which it is taken for a wrong label's.
-NOISE = 0.15
-#: Nats of one full out-of-place distance.
+NOISE = 0.03
+#: Nats of one missing n-gram.
 SCALE = 2.0
 #: Nats against a language that isn't the recording's, isn't the label's, and against a change within a text.
 NOT_PRIOR, NOT_DECLARED, CHANGE = 5.0, 3.0, 5.0
@@ -177,7 +179,7 @@ class Profiles:
         """Out-of-place distance of each text, a list of words, to each of the languages.
 
         A text's n-grams are ranked by frequency, ties by overall frequency; each adds the
-        difference of its ranks in units of ``PROFILE``, 1 if the profile lacks it. N-grams that
+        difference of its ranks in units of ``MISSING``, 1 if the profile lacks it. N-grams that
         no profile has would add 1 to all and are left out.
         """
         out = np.zeros((len(texts), len(languages)))
@@ -198,8 +200,8 @@ class Profiles:
         place = np.arange(len(owner)) - np.repeat(starts, np.diff(np.r_[starts, len(owner)]))
         for k, code in enumerate(languages):
             rank = self.rank[gram, _INDEX[code]]
-            apart = np.where(rank == PROFILE, PROFILE, np.minimum(np.abs(rank - place), PROFILE))
-            out[owner[starts], k] = np.add.reduceat(apart, starts) / PROFILE
+            apart = np.where(rank == PROFILE, MISSING, np.abs(rank - place))
+            out[owner[starts], k] = np.add.reduceat(apart, starts) / MISSING
         return out
 
 
@@ -336,18 +338,32 @@ def readable(df: DataFrame) -> DataFrame:
     return read.select("seg_id", "rec_id", "label", unmarked(F.col("body_named")).alias("body"))
 
 
-def trained(df: DataFrame, sample: int = SAMPLE) -> Profiles:
-    """Profiles from at most ``sample`` labelled segments, the same on every run.
+def priors(df: DataFrame) -> DataFrame:
+    """Rows (rec_id, prior): the most frequent declared language of each recording, the greatest code of equals.
+
+    Counted map-side first, so a recording may hold most rows.
+    """
+    labels = df.select("rec_id", declared(F.col("language")).alias("c")).where("rec_id IS NOT NULL AND c IS NOT NULL").groupBy("rec_id", "c").agg(F.count("*").alias("n"))
+    return labels.groupBy("rec_id").agg(F.max(F.struct("n", "c"))["c"].alias("prior"))
+
+
+def _with_prior(rows: DataFrame, prior: DataFrame) -> DataFrame:
+    return salted_left_join(rows, prior.withColumnRenamed("rec_id", "__rec"), {"rec_id": "__rec"}).drop("__rec")
+
+
+def trained(df: DataFrame, prior: DataFrame, sample: int = SAMPLE) -> Profiles:
+    """Profiles from at most ``sample`` segments labelled like their recording, the same on every run.
 
     They are those of the least hashes of seg_id. A share of the rows that holds them almost
     surely is cut out by hash before the sort, so that the sort doesn't grow with the table.
     """
-    labelled = df.where("text IS NOT NULL").where(declared(F.col("language")).isNotNull())
-    share = 2.0 * sample / max(1, labelled.count())
-    hashed = labelled.select("seg_id", "rec_id", "language", "text", F.xxhash64("seg_id").alias("h"))
+    labelled = df.where("text IS NOT NULL AND rec_id IS NOT NULL").withColumn("__label", declared(F.col("language"))).where("__label IS NOT NULL")
+    share = 3.0 * sample / max(1, labelled.count())
+    hashed = labelled.select("seg_id", "rec_id", "language", "__label", "text", F.xxhash64("seg_id").alias("h"))
 
     def least(rows: DataFrame) -> list:
-        return readable(rows.orderBy("h", "text").limit(sample)).select("body", "label").collect()
+        agreed = _with_prior(rows, prior).where("__label = prior")
+        return readable(agreed.orderBy("h", "text").limit(sample)).select("body", "label").collect()
 
     rows = least(hashed.where(F.col("h") <= hash_edge(share)))
     if len(rows) < sample and share < 1:
@@ -364,14 +380,12 @@ def identify(df: DataFrame, sample: int = SAMPLE, texts: bool = True) -> DataFra
     often as they are; further columns are ignored; an empty table gives an empty table. ``text``
     is null unless ``texts``.
 
-    The prior of a recording is its most frequent label, counted map-side first and joined with
-    salted rows. The profiles, of bounded size, go to the workers with the function.
+    The prior of a recording is its most frequent label, joined with salted rows. The profiles, of
+    bounded size, are broadcast.
     """
-    profiles = trained(df, sample)
-    shipped = df.sparkSession.sparkContext.broadcast(profiles)
-    labels = df.select("rec_id", declared(F.col("language")).alias("c")).where("rec_id IS NOT NULL AND c IS NOT NULL").groupBy("rec_id", "c").agg(F.count("*").alias("n"))
-    prior = labels.groupBy(F.col("rec_id").alias("__rec")).agg(F.max(F.struct("n", "c"))["c"].alias("prior"))
-    joined = salted_left_join(readable(df), prior, {"rec_id": "__rec"}).select("seg_id", "label", "prior", "body")
+    prior = priors(df)
+    shipped = df.sparkSession.sparkContext.broadcast(trained(df, prior, sample))
+    joined = _with_prior(readable(df), prior).select("seg_id", "label", "prior", "body")
     kind = df.schema["seg_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

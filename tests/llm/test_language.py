@@ -74,7 +74,7 @@ def test_distances_are_out_of_place():
     p = lg.Profiles(counts)
     got = p.distances([["a"]], ("en", "fr"))[0]
     # of the known grams a and _a, at places 0 and 1 of the text and 0 and 2 of the profile
-    assert np.allclose(got, [1 / lg.PROFILE, 2.0])
+    assert np.allclose(got, [1 / lg.MISSING, 2.0])
     assert (p.distances([[], ["zz"]]) == 0).all()
 
 
