@@ -22,8 +22,10 @@ ROUNDS = 8
 STABLE = 1e-3
 #: Judges up to whose number their weights are broadcast; more are joined by shuffle.
 BROADCAST_JUDGES = 100_000
-#: Share of the transcripts' common word pairs that a text may miss and still be worth editing.
-REJECT_SHARE = 0.45
+#: Share of the transcripts' common word pairs that a text may miss, and share of missed and added ones together, up to which it is worth editing.
+REJECT_MISSED, REJECT_APART = 0.45, 0.5
+#: A text loops if it has so many times as many word pairs as distinct ones, and so many times as many as the longest transcript.
+LOOP_REPEATS, LOOP_LENGTH = 1.5, 1.3
 
 
 def usable_label(label: Column) -> Column:
@@ -49,20 +51,21 @@ def latest_votes(labels: DataFrame) -> DataFrame:
 
 
 def _pairs(text: Column) -> Column:
-    """Distinct pairs of neighbouring words (characters in Chinese and Japanese), ends included."""
+    """Pairs of neighbouring words (characters in Chinese and Japanese) in order, ends included."""
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}'’]+", " ")
     spaced = F.regexp_replace(plain, r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー])", " $1 ")
     words = F.filter(F.split(spaced, " +"), lambda w: w != "")
     ends = F.array(F.lit("^")), F.array(F.lit("$"))
-    return let(words, lambda w: F.array_distinct(F.zip_with(F.concat(ends[0], w), F.concat(w, ends[1]), lambda a, b: F.concat_ws(" ", a, b))))
+    return let(words, lambda w: F.zip_with(F.concat(ends[0], w), F.concat(w, ends[1]), lambda a, b: F.concat_ws(" ", a, b)))
 
 
 def transcript_votes(segments: DataFrame, text: str = "text", others: tuple[str, ...] = ("text_whisper", "text_parakeet", "text_canary")) -> DataFrame:
     """Rows (seg_id, judge, label): what the other transcripts say of ``text``.
 
     Compared are pairs of neighbouring spoken words. Nothing missed of what two transcripts
-    share and nothing that no transcript has: ok. More than ``REJECT_SHARE`` missed, or no
-    words where the others have some: reject. Else edit. Segments where fewer than two other
+    share and nothing that no transcript has: ok. More missed or added than ``REJECT_MISSED`` and
+    ``REJECT_APART`` allow, words said over and over, or no words where the others have some: reject.
+    Else edit. Segments where fewer than two other
     transcripts have words get no vote; redelivered rows count once.
     """
     read = with_speech(segments.select("seg_id", *[F.col(c) for c in {text, *others}]), text)
@@ -74,14 +77,19 @@ def transcript_votes(segments: DataFrame, text: str = "text", others: tuple[str,
     pooled = F.flatten(F.array(*[F.when(F.size(c) > 1, F.col(c)).otherwise(F.array().cast("array<string>")) for c in others]))
     common = F.concat(*[F.array_intersect(a, b) for i, a in enumerate(others) for b in others[i + 1 :]])
     given = reduce(lambda a, b: a + b, [(F.size(c) > 1).cast("int") for c in others])
-    read = read.select("seg_id", "own", "own_named", given.alias("given"), F.array_distinct(pooled).alias("any"), F.array_distinct(common).alias("shared"))
+    longest = F.greatest(*[F.size(c) for c in others])
+    read = read.select("seg_id", "own", "own_named", given.alias("given"), F.array_distinct(pooled).alias("any"), F.array_distinct(common).alias("shared"), longest.alias("longest"))
     for own in ("own", "own_named"):
+        read = read.withColumn(f"total_{own}", F.size(own)).withColumn(own, F.array_distinct(own))
         read = read.withColumn(f"extra_{own}", F.size(F.array_except(own, "any"))).withColumn(f"missed_{own}", F.size(F.array_except("shared", own)))
 
     def verdict(own: str) -> Column:
-        extra, missed = F.col(f"extra_{own}"), F.col(f"missed_{own}")
+        extra, missed, total = F.col(f"extra_{own}"), F.col(f"missed_{own}"), F.col(f"total_{own}")
         share = missed / F.greatest(F.size("shared"), F.lit(1))
-        return F.when((extra == 0) & (missed == 0), 0).when((share > REJECT_SHARE) | (F.size(own) <= 1), 2).otherwise(1)
+        apart = (extra + missed) / (F.size(own) + F.size("shared"))
+        loops = (total >= LOOP_REPEATS * F.size(own)) & (total >= LOOP_LENGTH * F.col("longest"))
+        reject = loops | (share > REJECT_MISSED) | (apart > REJECT_APART) | (F.size(own) <= 1)
+        return F.when((extra == 0) & (missed == 0) & ~loops, 0).when(reject, 2).otherwise(1)
 
     best = F.when(F.col("own_named").isNull(), verdict("own")).otherwise(F.least(verdict("own"), verdict("own_named")))
     label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), F.col("best") + 1)
