@@ -27,6 +27,7 @@ runs AS (SELECT {key}, array_to_string(w[i:i + 14], ' ') AS run FROM words, unne
 often AS (SELECT DISTINCT {key} FROM (SELECT {key}, run FROM runs GROUP BY {key}, run HAVING count(*) > 5))
 SELECT {key}, filled AND {key} NOT IN (SELECT {key} FROM often) AS keep FROM words
 """
+_WHITE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _MOS = {"sig": "-0.08397278, 1.22083953, 0.0052439", "bak": "-0.13166888, 1.60915514, -0.39604546", "ovr": "-0.06766283, 1.11546468, 0.04602535"}
 
 
@@ -157,6 +158,11 @@ WITH {_SEG}, long AS (SELECT seg_id, CAST((e - s) * pow(2, greatest(ceil(log2(90
 counted AS (SELECT seg_id, l, CAST(trunc((l // 1000 * 1000 - 9010) / 1000) AS BIGINT) + 1 AS c FROM long),
 starts AS (SELECT seg_id, list_filter(list_transform(range(0, greatest(c - 1, 0) + 1), lambda i: i * 1000), lambda x: x + 9010 <= l) AS w FROM counted)
 SELECT seg_id, len(w) AS n, list_max(w) AS last FROM starts""",
+    "last_lines": rf"WITH bare AS (SELECT doc_id, regexp_replace(text, '^{_WHITE}+|{_WHITE}+$', '', 'g') AS t FROM documents) SELECT doc_id, regexp_replace(regexp_extract(t, '([^\n]*)$', 1), '^{_WHITE}+|{_WHITE}+$', '', 'g') AS line FROM bare",
+    "matched_level": """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), l AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x)) / len(v)) AS r FROM v),
+m AS (SELECT vec_id, list_transform(v[1:32], lambda x: least(greatest(x * (0.5 / (r + 1e-10)), -1), 1)) AS w FROM l)
+SELECT vec_id, len(w) AS n, round(sqrt(list_sum(list_transform(w, lambda x: x * x)) / len(w)), 5) AS rms FROM m""",
     "music_flags": "SELECT event_id, value / 100 > 0.3 AS music FROM events",
     "latin_phrases": "WITH f AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z'']*(?: +[A-Za-z][A-Za-z'']*)*') AS p FROM documents WHERE lang = 'ko') SELECT doc_id, CASE WHEN p IS NOT NULL THEN len(p) END AS n, array_to_string(p, '|') AS phrases FROM f",
     "safe_names": r"SELECT DISTINCT path, regexp_replace(regexp_replace(regexp_replace(path, '^.*/', ''), '(.)\.[^.]*$', '\1'), '[^\w\-.]', '_', 'g') AS name FROM audio_file WHERE path IS NOT NULL",
