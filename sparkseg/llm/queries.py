@@ -10,6 +10,7 @@ from sparkseg.llm.language import identify, mislabelled
 from sparkseg.llm.packing import fill, pack
 from sparkseg.llm.spam import spam_pages
 from sparkseg.llm.splitting import split_segments
+from sparkseg.llm.spoken import ALSO_WORDS, HESITATIONS, UNSPACED, UNSPACED_BEFORE_MARK
 from sparkseg.llm.tokenizer import encode_corpus
 from sparkseg.llm.turns import spoken_segments, turn_texts, turns
 from sparkseg.session import table
@@ -107,7 +108,36 @@ def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p4_found": p4_found, "p4_parts": p4_parts, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_found": p8_found, "p8_scores": p8_scores}
 
+_CLOCK = r"\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?"
+_TIME = rf"(?:[\[<(]\s*(?:{_CLOCK}|\d+\s*s)\s*[\]>)]|\d{{1,3}}:\d{{2}}:\d{{2}}[.,]\d{{1,3}}(?:\s*-->\s*\d{{1,3}}:\d{{2}}:\d{{2}}[.,]\d{{1,3}})?\s*\|?)"
+_NUMBER = r"(?i)^(?:>>\s*)?[\[(<]?\s*(?:speaker|spkr|spk|s)[\s._#-]*(\d{1,6})\s*(?:[\])>]\s*:?|[:>–—|]|-\s)\s*"
+_PART = r"\p{L}[\p{L}\p{M}''’.-]*"
+_NAME = rf"^(?:>>\s*)?[\[<]?\s*({_PART}(?: {_PART}){{0,3}})\s*(?:[\]>]\s*:?|[:>–—：]|-\s)\s*"
+_SOUND = r"\(\([^()]{0,40}\)\)|\[[^\[\]]{0,40}\]|\([^()]{0,40}\)|<[^<>]{0,40}>|\{[^{}]{0,40}\}|（[^（）]{0,40}）|【[^【】]{0,40}】|\*[^*\s][^*]{0,38}\*|♪[^♪]{0,40}♪|♪"
+_SOUNDS = ", ".join(f"'{w}'" for w in HESITATIONS + ALSO_WORDS + UNSPACED + UNSPACED_BEFORE_MARK)
+
 SQL = {
+    "p3_found": f"""
+WITH given AS (
+  SELECT seg_id, rec_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e, speaker, text, ingested_at FROM seg_result
+  UNION ALL SELECT seg_id, rec_id, CAST(round("start" * 1000) AS BIGINT), CAST(round("end" * 1000) AS BIGINT), speaker, text, ingested_at FROM res_seg),
+once AS (SELECT * FROM given WHERE e > s AND rec_id IS NOT NULL AND text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY seg_id ORDER BY ingested_at) = 1),
+aliases AS (SELECT rec_id, trim(lower(alias)) AS k, min(speaker) AS who FROM speaker_alias GROUP BY ALL),
+begun AS (SELECT *, regexp_replace(text, '^(?:\\s|{_TIME})+', '') AS at_, regexp_extract(trim(lower(speaker)), '^\\[?(?:speaker|spkr|spk|s)[ ._#-]*0*([0-9]+)\\]?$', 1) AS num, regexp_replace(trim(lower(speaker)), ' *\\([^()]*\\)$', '') AS k FROM once),
+led AS (SELECT *, regexp_extract(at_, '{_NUMBER}', 1) AS lead_num, lower(regexp_extract(at_, '{_NAME}', 1)) AS lead_name FROM begun),
+found AS (
+  SELECT led.*, a.who AS named, b.who AS lead_named FROM led LEFT JOIN aliases a ON a.rec_id = led.rec_id AND a.k = led.k AND num = ''
+  LEFT JOIN aliases b ON b.rec_id = led.rec_id AND b.k = lead_name AND lead_num = ''),
+bodies AS (
+  SELECT *, CASE WHEN lead_num <> '' THEN regexp_replace(at_, '{_NUMBER}', '') WHEN lead_named IS NOT NULL THEN regexp_replace(at_, '{_NAME}', '') ELSE at_ END AS body,
+    CASE WHEN num <> '' THEN CAST(num AS BIGINT) WHEN named IS NOT NULL THEN CAST(named[9:] AS BIGINT) WHEN lead_num <> '' THEN CAST(lead_num AS BIGINT) ELSE CAST(lead_named[9:] AS BIGINT) END AS who FROM found),
+spoken AS (
+  SELECT * FROM bodies WHERE who IS NOT NULL AND len(list_filter(regexp_split_to_array(lower(regexp_replace(regexp_replace(body, '{_TIME}', ' ', 'g'), '{_SOUND}', ' ', 'g')), '[\\s.,…、，。!?？！|-]+'),
+    lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}]') AND w NOT IN ({_SOUNDS}))) > 0),
+marked AS (SELECT *, CASE WHEN who = lag(who) OVER (PARTITION BY rec_id ORDER BY s, e, seg_id) THEN 0 ELSE 1 END AS fresh FROM spoken),
+grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY rec_id ORDER BY s, e, seg_id ROWS UNBOUNDED PRECEDING) AS g FROM marked)
+SELECT rec_id, 'SPEAKER_' || CASE WHEN any_value(who) < 10 THEN '0' ELSE '' END || any_value(who) AS speaker, min(s) AS start_ms, max(e) AS end_ms FROM grouped GROUP BY rec_id, g
+""",
     "p5_agreement": """
 WITH usable AS (
   SELECT seg_id, annotator_id, labelled_at,
