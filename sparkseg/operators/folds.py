@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from sparkseg.operators.ordered import fold_sorted, ordered, time_bucket
 from sparkseg.operators.segments import ORDER, denested
-from sparkseg.operators.skew import salted_left_join
 
 
 def cut_by_speaker(df: DataFrame, gap_ms: int = 2000, least_ms: int = 3000, most_ms: int = 30_000) -> DataFrame:
@@ -129,7 +128,7 @@ def max_gap_split(df: DataFrame, speech: DataFrame, most_ms: int = 20_000) -> Da
 
     kept = denested(df)
     own = F.array(F.struct("s", "e"))
-    joined = salted_left_join(kept, speech.select(F.col("seg_id").alias("__seg"), "stamps"), {"seg_id": "__seg"})
+    joined = kept.join(speech.select(F.col("seg_id").alias("__seg"), "stamps"), F.col("seg_id") == F.col("__seg"), "left")
     short = F.col("e") - F.col("s") <= most_ms
     parts = F.when(short, own).otherwise(part(F.when(~short, F.col("stamps"))))
     return joined.select("rec_id", "seg_id", F.posexplode(parts).alias("part", "x")).select("rec_id", "seg_id", "part", "x.s", "x.e")

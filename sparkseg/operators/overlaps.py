@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkseg.operators.skew import salted_left_join
-
 #: Length of the time buckets of the join.
 BUCKET_MS = 60_000
 
@@ -45,4 +43,4 @@ def overlapped_time(df: DataFrame, least_ms: int = 1) -> DataFrame:
     """``df`` with ``overlaps``: how many pairs a segment is part of."""
     pairs = overlap_pairs(df, least_ms)
     counts = pairs.select(F.explode(F.array("seg1", "seg2")).alias("__seg")).groupBy("__seg").agg(F.count("*").alias("__n"))
-    return salted_left_join(df, counts, {"seg_id": "__seg"}).withColumn("overlaps", F.coalesce("__n", F.lit(0))).drop("__seg", "__n")
+    return df.join(counts, F.col("seg_id") == F.col("__seg"), "left").withColumn("overlaps", F.coalesce("__n", F.lit(0))).drop("__seg", "__n")

@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkseg.session import checkpointed
+
 #: Parts into which each key of a salted join is split.
 SALTS = 8
+#: Rows up to which the smaller table is broadcast.
+BROADCAST_ROWS = 50_000
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, on: dict[str, str], salts: int = SALTS) -> DataFrame:
+def salted_left_join(left: DataFrame, right: DataFrame, on: dict[str, str], salts: int = SALTS, most: int = BROADCAST_ROWS) -> DataFrame:
     """Left join of a large table with a smaller one that is unique in its key.
 
-    ``on`` maps columns of ``left`` to those of ``right``, which must differ in name. Rows
-    of ``left`` go to one of ``salts`` parts by turns; each row of ``right`` is repeated in
-    every part. AQE still turns this into a broadcast join where ``right`` is small.
+    ``on`` maps columns of ``left`` to those of ``right``, which must differ in name. ``right`` is
+    written to the shared folder and counted. Up to ``most`` rows it is broadcast. Beyond, rows of
+    ``left`` go to one of ``salts`` parts by turns, each row of ``right`` is repeated in every part,
+    and both are shuffled: a hot key is spread over as many tasks.
     """
-    salted = left.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-    spread = right.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    condition = F.col("__salt") == F.col("__part")
+    kept = checkpointed(right)
+    condition = F.lit(True)
     for a, b in on.items():
         condition = condition & (F.col(a) == F.col(b))
-    return salted.join(spread, condition, "left").drop("__salt", "__part")
+    if kept.count() <= most:
+        return left.join(F.broadcast(kept), condition, "left")
+    salted = left.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    spread = kept.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
+    return salted.join(spread, condition & (F.col("__salt") == F.col("__part")), "left").drop("__salt", "__part")
