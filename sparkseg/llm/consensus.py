@@ -106,7 +106,11 @@ def _chosen(totals: dict[str, Column]) -> Column:
 
 
 def _weighed(votes: DataFrame, weights: DataFrame) -> DataFrame:
-    """Votes with their weight and, for each label, the total of their segment."""
+    """Votes with their weight and, for each label, the total of their segment.
+
+    A segment has at most one vote per judge, so the votes of one are bounded by the judges,
+    and totals are taken where its votes lie, without a shuffle in each round.
+    """
     few = weights.count() <= BROADCAST_JUDGES
     seg = Window.partitionBy("seg_id")
     joined = votes.join(F.broadcast(weights) if few else weights, "judge")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparkseg.functions.columns import hash_edge
 from sparkseg.llm.spoken import ALSO_WORDS, HESITATIONS, UNSPACED, unmarked, with_speech
 from sparkseg.operators.skew import salted_left_join
+from sparkseg.session import checkpointed
 
 LANGUAGES = ("en", "ko", "es", "ja", "zh", "fr", "de", "it", "pt", "ru", "ar", "hi")
 #: Labelled segments from which the profiles are made: those of the least hashes of seg_id.
@@ -344,7 +345,7 @@ def priors(df: DataFrame) -> DataFrame:
     Counted map-side first, so a recording may hold most rows.
     """
     labels = df.select("rec_id", declared(F.col("language")).alias("c")).where("rec_id IS NOT NULL AND c IS NOT NULL").groupBy("rec_id", "c").agg(F.count("*").alias("n"))
-    return labels.groupBy("rec_id").agg(F.max(F.struct("n", "c"))["c"].alias("prior"))
+    return checkpointed(labels.groupBy("rec_id").agg(F.max(F.struct("n", "c"))["c"].alias("prior")))  # read for training and for all segments
 
 
 def _with_prior(rows: DataFrame, prior: DataFrame) -> DataFrame:

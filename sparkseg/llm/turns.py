@@ -10,6 +10,7 @@ from sparkseg.functions.speakers import label_key, speaker_name, speaker_number
 from sparkseg.llm.rosters import assign_labels
 from sparkseg.llm.spoken import beginning, clean, has_words, leading_name, speech, with_speech
 from sparkseg.operators.skew import salted_left_join
+from sparkseg.session import checkpointed
 
 #: Length of the time buckets into which a recording is split.
 BUCKET_MS = 3_600_000
@@ -36,7 +37,7 @@ def spoken_segments(df: DataFrame, alias: DataFrame) -> DataFrame:
     # labels come from the narrow columns, in a scan of their own
     raw = df.where("rec_id IS NOT NULL").select("rec_id", speaker_number("speaker").alias("n"), label_key("speaker").alias("label"))
     keys = raw.where("n IS NULL").select("rec_id", "label").unionByName(df.select("rec_id", leading_name(beginning(F.col("text"))).alias("label")))
-    who = assign_labels(keys, alias)
+    who = checkpointed(assign_labels(keys, alias))  # read for both labels
     by_label = who.withColumnsRenamed({"rec_id": "r1", "label": "l1", "who": "w1"})
     by_lead = who.withColumnsRenamed({"rec_id": "r2", "label": "l2", "who": "w2"})
     joined = salted_left_join(salted_left_join(read, by_label, {"rec_id": "r1", "label": "l1"}), by_lead, {"rec_id": "r2", "lead_name": "l2"})
