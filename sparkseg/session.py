@@ -31,11 +31,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
     session that names none gets a temporary one.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
-        if not context.master.startswith("local[") and context.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(named)
     return df.checkpoint(eager=True)
 
 
@@ -48,7 +52,7 @@ _SHIPPED: set[str] = set()
 
 
 def shipped(spark: SparkSession) -> SparkSession:
-    """The session, whose Python workers can import this package: it is sent to them once, as a file."""
+    """The session, whose Python workers can import this package: Spark sends it to them once, as a file of the driver."""
     context = spark.sparkContext
     here = Path(__file__).resolve().parent
     if context.applicationId not in _SHIPPED and here.is_dir():
