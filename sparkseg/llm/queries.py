@@ -11,7 +11,7 @@ from sparkseg.llm.packing import fill, pack
 from sparkseg.llm.spam import spam_pages
 from sparkseg.llm.splitting import split_segments
 from sparkseg.llm.spoken import ALSO_WORDS, HESITATIONS, UNSPACED, UNSPACED_BEFORE_MARK
-from sparkseg.llm.tokenizer import encode_corpus
+from sparkseg.llm.tokenizer import decode_corpus, encode_corpus
 from sparkseg.llm.turns import spoken_segments, turn_texts, turns
 from sparkseg.session import table
 
@@ -86,6 +86,11 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
 
+def p6_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's text after encoding and decoding."""
+    return decode_corpus(encode_corpus(table(spark, folder, "documents")))
+
+
 def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
     """Which tokens of which document lie in which container of 2 048."""
     return pack(table(spark, folder, "documents"))
@@ -106,7 +111,7 @@ def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
     return spam_pages(table(spark, folder, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p4_found": p4_found, "p4_parts": p4_parts, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_found": p8_found, "p8_scores": p8_scores}
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_turns": p3_turns, "p4_found": p4_found, "p4_parts": p4_parts, "p5_found": p5_found, "p5_items": p5_items, "p5_annotators": p5_annotators, "p5_agreement": p5_agreement, "p6_ids": p6_ids, "p6_round_trip": p6_round_trip, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_found": p8_found, "p8_scores": p8_scores}
 
 _CLOCK = r"\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?"
 _TIME = rf"(?:[\[<(]\s*(?:{_CLOCK}|\d+\s*s)\s*[\]>)]|\d{{1,3}}:\d{{2}}:\d{{2}}[.,]\d{{1,3}}(?:\s*-->\s*\d{{1,3}}:\d{{2}}:\d{{2}}[.,]\d{{1,3}})?\s*\|?)"
@@ -117,6 +122,7 @@ _SOUND = r"\(\([^()]{0,40}\)\)|\[[^\[\]]{0,40}\]|\([^()]{0,40}\)|<[^<>]{0,40}>|\
 _SOUNDS = ", ".join(f"'{w}'" for w in HESITATIONS + ALSO_WORDS + UNSPACED + UNSPACED_BEFORE_MARK)
 
 SQL = {
+    "p6_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p3_found": f"""
 WITH given AS (
   SELECT seg_id, rec_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e, speaker, text, ingested_at FROM seg_result

@@ -202,3 +202,26 @@ def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", folder
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=[key, "ids"])
 
     return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+
+
+def decode_corpus(df: DataFrame, key: str = "doc_id", ids: str = "ids", folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Rows (key, text) of rows (key, ids): the inverse of ``encode_corpus``.
+
+    Empty and null lists give an empty text, so a null text comes back empty. Ids that the
+    vocabulary doesn't have are left out; bytes that are no UTF-8 become the replacement
+    character. Rows stay as they are.
+    """
+    model = broadcast_model(df.sparkSession, folder, vocabulary)
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = encoder(model).model
+        size = pieces.get_piece_size() - 1  # without the unknown piece
+        tokens = [to_bytes(pieces.id_to_piece(i)) for i in range(size)]
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                texts = [b"".join([tokens[i] for i in row or [] if i is not None and 0 <= i < size]).decode("utf-8", "replace") for row in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, type=pa.string())], names=[key, "text"])
+
+    return df.select(key, ids).mapInArrow(run, f"`{key}` {kind}, text string")

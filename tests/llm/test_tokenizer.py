@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from sparkseg.llm.tokenizer import FOLDER, VOCABULARY, Encoder, byte_letters, encode_corpus, ranks, serialised, to_bytes, to_letters
+from sparkseg.llm.tokenizer import FOLDER, VOCABULARY, Encoder, byte_letters, decode_corpus, encode_corpus, ranks, serialised, to_bytes, to_letters
 
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{FOLDER}/{VOCABULARY}"), reason="no vocabulary files")
 
@@ -73,3 +73,11 @@ def test_refused_files(tmp_path):
     (tmp_path / "v").write_text("YQ== 1\n")
     with pytest.raises(ValueError):
         ranks(str(tmp_path / "v"))
+
+
+def test_decoding_is_the_inverse(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)] + [(100, None), (101, "")], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in decode_corpus(encode_corpus(df)).collect()}
+    assert got == {**dict(enumerate(ODD)), 100: "", 101: ""}
+    odd = spark.createDataFrame([(1, [-1, 50256, 99999, None]), (2, None), (3, [156])], "doc_id bigint, ids array<int>")
+    assert [r.text for r in decode_corpus(odd).orderBy("doc_id").collect()] == ["", "", "\ufffd"]
