@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from sparkseg.functions.columns import let
-from sparkseg.llm.spoken import clean, speech, with_speech
+from sparkseg.llm.spoken import heard, with_speech
 from sparkseg.session import checkpointed
 
 LABELS = ("ok", "edit", "reject")
@@ -54,26 +54,31 @@ def _pairs(text: Column) -> Column:
     """Pairs of neighbouring words (characters in Chinese and Japanese) in order, ends included."""
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}'’]+", " ")
     spaced = F.regexp_replace(plain, r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー])", " $1 ")
-    words = F.filter(F.split(spaced, " +"), lambda w: w != "")
     ends = F.array(F.lit("^")), F.array(F.lit("$"))
-    return let(words, lambda w: F.zip_with(F.concat(ends[0], w), F.concat(w, ends[1]), lambda a, b: F.concat_ws(" ", a, b)))
+    words = F.split(F.trim(spaced), " +")
+    pairs = let(words, lambda w: F.zip_with(F.concat(ends[0], w), F.concat(w, ends[1]), lambda a, b: F.concat(a, F.lit(" "), b)))
+    # no words: split gives one empty one
+    return let(pairs, lambda p: F.when(p[0] == "^ ", F.array(F.lit("^ $"))).otherwise(p))
 
 
-def transcript_votes(segments: DataFrame, text: str = "text", others: tuple[str, ...] = ("text_whisper", "text_parakeet", "text_canary")) -> DataFrame:
+def transcript_votes(segments: DataFrame, text: str = "text", others: tuple[str, ...] = ("text_whisper", "text_parakeet", "text_canary"), silent: bool = False) -> DataFrame:
     """Rows (seg_id, judge, label): what the other transcripts say of ``text``.
 
     Compared are pairs of neighbouring spoken words. Nothing missed of what two transcripts
     share and nothing that no transcript has: ok. More missed or added than ``REJECT_MISSED`` and
     ``REJECT_APART`` allow, words said over and over, or no words where the others have some: reject.
     Else edit. Segments where fewer than two other
-    transcripts have words get no vote; redelivered rows count once.
+    transcripts have words get no vote, or with ``silent`` a null label; redelivered rows count once.
     """
     read = with_speech(segments.select("seg_id", *[F.col(c) for c in {text, *others}]), text)
+    words = lambda c: _pairs(F.coalesce(heard(F.col(c)), F.lit("")))
     for c in others:
-        read = read.withColumn(c, _pairs(clean(F.coalesce(speech(F.col(c)), F.lit("")))))
+        read = read.withColumn(f"raw_{c}", F.col(c)).withColumn(c, words(c))
     named = F.col("lead_name").isNotNull()
-    read = read.withColumn("own", _pairs(clean(F.coalesce(speech(F.col("body")), F.lit("")))))
-    read = read.withColumn("own_named", F.when(named, _pairs(clean(F.coalesce(speech(F.col("body_named")), F.lit(""))))))
+    # a text that is one of the transcripts has its pairs
+    same = [F.when(F.col("body") == F.col(f"raw_{c}"), F.col(c)) for c in others]
+    read = read.withColumn("own", F.coalesce(*same, words("body")))
+    read = read.withColumn("own_named", F.when(named, words("body_named")))
     pooled = F.flatten(F.array(*[F.when(F.size(c) > 1, F.col(c)).otherwise(F.array().cast("array<string>")) for c in others]))
     common = F.concat(*[F.array_intersect(a, b) for i, a in enumerate(others) for b in others[i + 1 :]])
     given = reduce(lambda a, b: a + b, [(F.size(c) > 1).cast("int") for c in others])
@@ -92,10 +97,12 @@ def transcript_votes(segments: DataFrame, text: str = "text", others: tuple[str,
         return F.when((extra == 0) & (missed == 0) & ~loops, 0).when(reject, 2).otherwise(1)
 
     best = F.when(F.col("own_named").isNull(), verdict("own")).otherwise(F.least(verdict("own"), verdict("own_named")))
-    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), F.col("best") + 1)
+    # tested for null: what element_at makes of a null index isn't taken for nullable
+    label = F.when(F.col("best").isNotNull(), F.element_at(F.array(*[F.lit(x) for x in LABELS]), F.col("best") + 1))
     # the verdict is tested behind the aggregation: a filter before it would be run ahead of the caller's join
     votes = read.select("seg_id", F.when(F.col("given") >= 2, best).alias("best")).groupBy("seg_id").agg(F.min("best").alias("best"))
-    return votes.where("best IS NOT NULL").select("seg_id", F.lit(TRANSCRIPTS).alias("judge"), label.alias("label"))
+    given_votes = votes if silent else votes.where("best IS NOT NULL")
+    return given_votes.select("seg_id", F.lit(TRANSCRIPTS).alias("judge"), label.alias("label"))
 
 
 def _chosen(totals: dict[str, Column]) -> Column:
@@ -109,11 +116,12 @@ def _weighed(votes: DataFrame, weights: DataFrame) -> DataFrame:
     """Votes with their weight and, for each label, the total of their segment.
 
     A segment has at most one vote per judge, so the votes of one are bounded by the judges,
-    and totals are taken where its votes lie, without a shuffle in each round.
+    and totals are taken where its votes lie, without a shuffle in each round. A judge without
+    a weight gets 1.
     """
     few = weights.count() <= BROADCAST_JUDGES
     seg = Window.partitionBy("seg_id")
-    joined = votes.join(F.broadcast(weights) if few else weights, "judge")
+    joined = votes.join(F.broadcast(weights) if few else weights, "judge", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
     return joined.withColumns({f"t_{x}": F.sum(F.when(F.col("label") == x, F.col("w")).otherwise(0.0)).over(seg) for x in LABELS})
 
 
@@ -146,10 +154,13 @@ def reliability(votes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def consensus(votes: DataFrame, weights: DataFrame) -> DataFrame:
-    """Rows (seg_id, label, agreement, votes): the label, the share of weight behind it, the judges."""
+    """Rows (seg_id, label, agreement, votes): the label, the share of weight behind it, the judges.
+
+    A segment that has only null labels has no label and no agreement, and 0 votes.
+    """
     totals = {x: F.col(f"t_{x}") for x in LABELS}
-    per = _weighed(votes, weights.select("judge", "w")).groupBy("seg_id").agg(*[F.first(f"t_{x}").alias(f"t_{x}") for x in LABELS], F.count("*").alias("votes"))
-    behind = F.greatest(*totals.values()) / reduce(lambda a, b: a + b, totals.values())
+    per = _weighed(votes, weights.select("judge", "w")).groupBy("seg_id").agg(*[F.first(f"t_{x}").alias(f"t_{x}") for x in LABELS], F.count("label").alias("votes"))
+    behind = F.try_divide(F.greatest(*totals.values()), reduce(lambda a, b: a + b, totals.values()))
     return per.select("seg_id", _chosen(totals).alias("label"), behind.alias("agreement"), "votes")
 
 
@@ -167,15 +178,27 @@ def chance_corrected(votes: DataFrame) -> DataFrame:
     return rated.select("segments", "votes", "agreement", "expected", F.when(F.col("expected") < 1, (F.col("agreement") - F.col("expected")) / (1 - F.col("expected"))).alias("alpha"))
 
 
-def judged(labels: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+def judged(labels: DataFrame, segments: DataFrame | None = None, every: bool = False) -> DataFrame:
     """Votes of annotators and, given the segments, of their transcripts, kept for several passes.
 
-    They are partitioned by segment and kept in memory and on disk; what an executor takes
-    with it is computed again.
+    Transcripts vote on the segments that people judge; with ``every`` on all, and those that
+    neither judge have one row of a null label. Votes are partitioned by segment and kept in
+    memory and on disk; what an executor takes with it is computed again.
     """
     people = latest_votes(labels)
     votes = people
     if segments is not None:
         wanted = people.select("seg_id").distinct()
-        votes = people.unionByName(transcript_votes(segments.join(wanted, "seg_id", "left_semi")))
-    return votes.repartition("seg_id").sortWithinPartitions("seg_id").persist(StorageLevel.MEMORY_AND_DISK)
+        asked = segments.where("seg_id IS NOT NULL") if every else segments.join(wanted, "seg_id", "left_semi")
+        votes = people.unionByName(transcript_votes(asked, silent=every))
+    return _kept(votes.repartition("seg_id").sortWithinPartitions("seg_id"))
+
+
+def of_people(votes: DataFrame) -> DataFrame:
+    """The votes on segments that people judge, kept for several passes, without a shuffle."""
+    judges = F.max(F.col("judge") != TRANSCRIPTS).over(Window.partitionBy("seg_id"))
+    return _kept(votes.withColumn("people", judges).where("people AND label IS NOT NULL").drop("people"))
+
+
+def _kept(votes: DataFrame) -> DataFrame:
+    return votes.persist(StorageLevel.MEMORY_AND_DISK)

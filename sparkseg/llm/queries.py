@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkseg.llm.consensus import chance_corrected, consensus, judged, latest_votes, reliability
+from sparkseg.llm.consensus import chance_corrected, consensus, judged, latest_votes, of_people, reliability
 from sparkseg.llm.language import identify, mislabelled
 from sparkseg.llm.packing import fill, pack
 from sparkseg.llm.spam import spam_pages
@@ -54,9 +54,9 @@ def p4_parts(spark: SparkSession, folder: str) -> DataFrame:
     return identify(_segments(spark, folder)).dropDuplicates(["seg_id", "part"])
 
 
-def _votes(spark: SparkSession, folder: str) -> DataFrame:
+def _votes(spark: SparkSession, folder: str, every: bool = False) -> DataFrame:
     segments = table(spark, folder, "seg_result").select("seg_id", "text", "text_whisper", "text_parakeet", "text_canary")
-    return judged(table(spark, folder, "seg_label"), segments)
+    return judged(table(spark, folder, "seg_label"), segments, every)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,9 +66,12 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Consensus label of each segment, how far its judges agree, and how many there are."""
-    votes = _votes(spark, folder)
-    return consensus(votes, reliability(votes))
+    """Consensus label of each segment, how far its judges agree, and how many there are.
+
+    Weights are those of the segments that people judge; a segment that nobody judges has no label.
+    """
+    votes = _votes(spark, folder, every=True)
+    return consensus(votes, reliability(of_people(votes)))
 
 
 def p5_annotators(spark: SparkSession, folder: str) -> DataFrame:

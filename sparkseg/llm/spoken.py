@@ -83,14 +83,18 @@ _ENGLISH = r"(?iu)(?<!\p{L})(?:the|and|we|you|they|that|this|was|is|it|of|to|she
 _SPANISH = r"(?iu)(?<!\p{L})(?:el|los|las|una|que|del|y|la|es)(?!\p{L})"
 
 
-def clean(spoken: Column) -> Column:
-    """``speech`` without the doubtful hesitations that the text's language doesn't have as words."""
+def _settled(spoken: Column) -> Column:
     english, spanish = _spaced(["um", "er"], _TAIL), _spaced(["em"], _TAIL)
 
     def cleaned(x: Column) -> Column:
         return F.when(x.rlike(_ENGLISH), F.regexp_replace(x, english, " ")).when(x.rlike(_SPANISH), F.regexp_replace(x, spanish, " ")).otherwise(x)
 
-    return collapsed(let(spoken, cleaned))
+    return let(spoken, cleaned)
+
+
+def clean(spoken: Column) -> Column:
+    """``speech`` without the doubtful hesitations that the text's language doesn't have as words."""
+    return collapsed(_settled(spoken))
 
 
 #: The beginning of a word that is no hesitation.
@@ -104,6 +108,22 @@ def has_words(text: Column) -> Column:
     return F.coalesce(calm.rlike(_WORD), F.lit(False))
 
 
+#: The spaced hesitations, looked for where a word begins with one of their letters.
+_QUICK = _spaced(HESITATIONS, _TAIL).replace("(?:", f"(?=[{''.join(sorted({w[0] for w in HESITATIONS}))}])(?:", 1)
+
+
+def heard(text: Column) -> Column:
+    """The words of ``clean(speech(text))``, with its white space and stray marks left as they are, at half the cost."""
+
+    def calm(bare: Column) -> Column:
+        return F.when(bare.rlike(_ANY_UNSPACED), F.regexp_replace(bare, _HESITATION, " ")).otherwise(F.regexp_replace(bare, _QUICK, " "))
+
+    def told(x: Column) -> Column:
+        return F.when(x.rlike(_DOUBTFUL_ALONE), _settled(F.regexp_replace(x, _DOUBTFUL, " "))).otherwise(x)
+
+    return let(let(unmarked(text), calm), told)
+
+
 def with_speech(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``lead_number``, ``lead_name``, ``body`` and ``body_named``.
 

@@ -3,7 +3,8 @@ import random
 
 import pytest
 
-from sparkseg.llm.consensus import TRANSCRIPTS, chance_corrected, consensus, judged, latest_votes, reliability, transcript_votes
+from sparkseg.llm.consensus import TRANSCRIPTS, chance_corrected, consensus, judged, latest_votes, of_people, reliability, transcript_votes
+from sparkseg.llm.queries import p5_found, p5_items
 
 T0 = datetime.datetime(2025, 1, 1)
 LABEL = "seg_id bigint, annotator_id bigint, label string, labelled_at timestamp"
@@ -92,3 +93,19 @@ def test_one_segment_with_most_votes(spark):
     votes = judged(spark.createDataFrame(rows, LABEL))
     got = {r.seg_id: r.label for r in consensus(votes, reliability(votes, 2)).collect()}
     assert got[7] == "ok" and len(got) == 20
+
+
+def test_items_has_every_segment(spark, tmp_path):
+    t = "we met the producer of the show in the morning"
+    rows = [(1, t, t, t, t), (2, t.replace("met", "saw"), t, t, t), (3, t, t, t, t), (4, t.replace("met", "saw"), t, t, t), (5, t, t, None, None), (3, t, t, t, t), (None, t, t, t, t)]
+    spark.createDataFrame(rows, TEXTS).write.parquet(str(tmp_path / "seg_result.parquet"))
+    spark.createDataFrame([(1, 1, "ok", T0), (2, 1, "edit", T0), (9, 1, "reject", T0)], LABEL).write.parquet(str(tmp_path / "seg_label.parquet"))
+    got = {r.seg_id: (r.label, r.agreement, r.votes) for r in p5_items(spark, str(tmp_path)).collect()}
+    assert got == {1: ("ok", 1.0, 2), 2: ("edit", 1.0, 2), 3: ("ok", 1.0, 1), 4: ("edit", 1.0, 1), 5: (None, None, 0), 9: ("reject", 1.0, 1)}
+    assert {r.seg_id: r.label for r in p5_found(spark, str(tmp_path)).collect()} == {1: "ok", 2: "edit", 9: "reject"}
+
+
+def test_transcripts_alone_label_where_nobody_judges(spark):
+    t = "we met the producer of the show in the morning"
+    votes = judged(spark.createDataFrame([], LABEL), spark.createDataFrame([(1, t, t, t, t)], TEXTS), every=True)
+    assert [(r.seg_id, r.label, r.votes) for r in consensus(votes, reliability(of_people(votes))).collect()] == [(1, "ok", 1)]
