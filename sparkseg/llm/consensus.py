@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +18,8 @@ LABELS = ("ok", "edit", "reject")
 TRANSCRIPTS = "transcripts"
 #: Votes of average accuracy added to each judge's own.
 SMOOTHING = 10.0
-ROUNDS = 8
+#: Rounds after which weights that still move are taken as they are, with a warning.
+ROUNDS = 40
 #: Rounds end when no weight moves by more.
 STABLE = 1e-3
 #: Judges up to whose number their weights are broadcast; more are joined by shuffle.
@@ -133,9 +135,11 @@ def reliability(votes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     it, smoothed by ``SMOOTHING`` votes of the average accuracy; the weight is the log odds of
     that accuracy against guessing, 0.05 at least. A judge who is alone on all segments keeps the
     average. Weights are one row per judge; each round's are written to the shared folder,
-    so the lineage doesn't grow.
+    so the lineage doesn't grow. Rounds end when no weight moves by ``STABLE``; if one still does
+    after ``rounds``, a warning says so.
     """
     weights = checkpointed(votes.groupBy("judge").agg(F.count("*").alias("votes"), F.lit(0.5).alias("accuracy"), F.lit(1.0).alias("w")))
+    moved = 0.0
     for _ in range(rounds):
         weighed = _weighed(votes, weights.select("judge", "w"))
         others = _chosen({x: F.col(f"t_{x}") - F.when(F.col("label") == x, F.col("w")).otherwise(0.0) for x in LABELS})
@@ -150,6 +154,8 @@ def reliability(votes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         weights = new
         if moved is None or moved < STABLE:
             break
+    else:
+        warnings.warn(f"weights not stable after {rounds} rounds: the last moved one by {moved:.4f}", stacklevel=2)
     return weights
 
 

@@ -1,9 +1,10 @@
 import datetime
 import random
+import warnings
 
 import pytest
 
-from sparkseg.llm.consensus import TRANSCRIPTS, chance_corrected, consensus, judged, latest_votes, of_people, reliability, transcript_votes
+from sparkseg.llm.consensus import TRANSCRIPTS, _weighed, chance_corrected, consensus, judged, latest_votes, of_people, reliability, transcript_votes
 from sparkseg.llm.queries import p5_found, p5_items
 
 T0 = datetime.datetime(2025, 1, 1)
@@ -109,3 +110,19 @@ def test_transcripts_alone_label_where_nobody_judges(spark):
     t = "we met the producer of the show in the morning"
     votes = judged(spark.createDataFrame([], LABEL), spark.createDataFrame([(1, t, t, t, t)], TEXTS), every=True)
     assert [(r.seg_id, r.label, r.votes) for r in consensus(votes, reliability(of_people(votes))).collect()] == [(1, "ok", 1)]
+
+
+def test_rounds_go_on_until_weights_are_stable(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(seg, who, "ok" if rng.random() < 0.5 + 0.02 * who else rng.choice(["edit", "reject"]), T0) for seg in range(150) for who in rng.sample(range(12), 3)]
+    votes = judged(spark.createDataFrame(rows, LABEL))
+    rounds = []
+    monkeypatch.setattr("sparkseg.llm.consensus._weighed", lambda v, w, f=_weighed: (rounds.append(1), f(v, w))[1])
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        last = {r.judge: r.w for r in reliability(votes).collect()}
+    assert len(rounds) > 8
+    again = {r.judge: r.w for r in reliability(votes, len(rounds)).collect()}
+    assert last == again
+    with pytest.warns(UserWarning, match="not stable after 2 rounds"):
+        reliability(votes, 2)
