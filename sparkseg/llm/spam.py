@@ -19,8 +19,10 @@ from sparkseg.session import checkpointed
 
 #: Documents of the sample on which the trees are grown: those of the least hashes of the key.
 SAMPLE = 4000
-#: Clear pages of each kind without which no trees are grown: the rules alone decide in so small a table.
+#: Clear pages of each kind without which no trees are grown: the rules alone decide then.
 LEAST_OF_EACH = 20
+#: Times the sample in which a kind that is rare in it is looked for.
+WIDER = 64
 #: Weight of the host's rate beside the page's own, and pages of average rate added to each host.
 HOST_WEIGHT, HOST_SMOOTHING = 0.1, 20.0
 SPAM = 0.5
@@ -141,32 +143,43 @@ def _feature_rows(texts: list[str | None]) -> np.ndarray:
 
 
 def train(df: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Forest | None:
-    """Trees grown on the weak labels of at most ``sample`` documents; None if either kind is rare.
+    """Trees grown on the weak labels of ``sample`` documents; None if either kind is rare.
 
-    The sample is fixed by the hash of the key, so it is the same on every run.
+    If fewer than ``LEAST_OF_EACH`` of them are clearly of one kind, clear pages of that kind, at
+    most ``sample``, are added from ``WIDER`` times as many documents. Both are those of
+    the least hashes of the key, so they are the same on every run.
     """
     hashed = df.where(F.length(F.trim(text)) > 0).select(F.xxhash64(key).alias("h"), text)
-    share = 2.0 * sample / max(1, df.count())
+    total = max(1, df.count())
 
-    def least(rows: DataFrame) -> list:
-        return [r["x"] for r in rows.orderBy("h", text).limit(sample).select(text).mapInArrow(run, "x array<double>").collect()]
+    def least(rows: DataFrame, kind: int | None = None) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = _feature_rows(b.column(1).to_pylist())
+                kept = np.arange(len(x)) if kind is None else np.flatnonzero(weak_labels(x) == kind)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(kept)), pa.array([r.tolist() for r in x[kept]], type=pa.list_(pa.float64()))], names=["h", "x"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in [pa.array([r.tolist() for r in _feature_rows(b.column(0).to_pylist())], type=pa.list_(pa.float64()))]:
-                yield pa.RecordBatch.from_arrays([row], names=["x"])
+        cut = rows.orderBy("h", text).limit(sample) if kind is None else rows
+        made = cut.select("h", text).mapInArrow(run, "h bigint, x array<double>")
+        found = made.collect() if kind is None else made.orderBy("h", "x").limit(sample).collect()
+        return np.array([r["x"] for r in found], dtype=np.float64).reshape(-1, len(FEATURES))
 
     # a share that holds them almost surely is cut out by hash, so that the sort doesn't grow with the table
-    found = least(hashed.where(F.col("h") <= hash_edge(share)))
-    if len(found) < sample and share < 1:
-        found = least(hashed)
-    if not found:
+    share = 2.0 * sample / total
+    x = least(hashed.where(F.col("h") <= hash_edge(share)))
+    if len(x) < sample and share < 1:
+        x = least(hashed)
+    if not len(x):
         return None
-    x = np.array(found, dtype=np.float64)
     y = weak_labels(x)
-    known = y >= 0
+    few = [kind for kind in (0, 1) if (y == kind).sum() < LEAST_OF_EACH]
+    if few and len(x) == sample:
+        wide = hashed.where(F.col("h") <= hash_edge(WIDER * sample / total))
+        x = np.concatenate([x[~np.isin(y, few)], *[least(wide, kind) for kind in few]])
+        y = weak_labels(x)
     if min((y == 1).sum(), (y == 0).sum()) < LEAST_OF_EACH:
         return None
+    known = y >= 0
     return Forest(x[known], y[known].astype(np.float64))
 
 

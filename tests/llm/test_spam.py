@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from sparkseg.llm.forest import Forest
-from sparkseg.llm.spam import FEATURES, features, spam_pages, weak_labels
+from sparkseg.llm.spam import FEATURES, features, spam_pages, train, weak_labels
 
 WORDS = "river stone window garden letter winter bridge candle market summer doctor engine forest island kitchen".split()
 
@@ -74,3 +74,11 @@ def test_forest_learns_and_repeats():
     f, g = Forest(x[:400], y[:400]), Forest(x[:400], y[:400])
     p = f.predict(x[400:])
     assert ((p > 0.5) == (y[400:] > 0.5)).mean() > 0.9 and (p == g.predict(x[400:])).all()
+
+
+def test_trees_are_grown_where_spam_is_rare_in_the_sample(spark):
+    rng = random.Random(4)
+    rows = [(i, spam(rng, i // 40 % 5) if i % 40 == 0 else prose(rng, 4)) for i in range(1600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert train(df, sample=100) is not None
+    assert train(df.where("doc_id % 40 > 0"), sample=100) is None and train(df.where("doc_id < 200"), sample=400) is None
