@@ -26,7 +26,7 @@ WIDER = 64
 #: Weight of the host's rate beside the page's own, and pages of average rate added to each host.
 HOST_WEIGHT, HOST_SMOOTHING = 0.1, 20.0
 SPAM = 0.5
-#: Characters below which a text is too short for the rules to call it spam.
+#: Characters up to which a text is too short for the rules to call it spam; it is clear prose only without odd features.
 CLEAR_LENGTH = 100
 BATCH = 512
 
@@ -134,7 +134,7 @@ def weak_labels(x: np.ndarray) -> np.ndarray:
     keyword = (f["top_pair"] > 0.3) & (f["local_words"] < 0.75)
     odd = keyword | (f["link_items"] > 0.5) | (f["tags"] > 0.4) | (f["stuffed"] > 0.4) | (f["capitals"] > 0.4) | (f["repeats"] > 0.3) | (f["marks"] > 0.2) | (f["local_words"] < 0.7)
     spam = long & ((f["sentences"] < 0.4) & odd | (f["stuffed"] > 0.5) | keyword)
-    prose = ~long | (f["sentences"] >= 0.5) & ~keyword & (f["stuffed"] < 0.3)
+    prose = ~long & ~odd | (f["sentences"] >= 0.5) & ~keyword & (f["stuffed"] < 0.3)
     return np.where(spam, 1, np.where(prose, 0, -1))
 
 

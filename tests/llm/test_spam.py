@@ -82,3 +82,9 @@ def test_trees_are_grown_where_spam_is_rare_in_the_sample(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert train(df, sample=100) is not None
     assert train(df.where("doc_id % 40 > 0"), sample=100) is None and train(df.where("doc_id < 200"), sample=400) is None
+
+
+def test_short_lists_are_not_taught_as_prose():
+    texts = ["#river #stone #window #garden", "https://www.river.example/p/1 https://www.stone.example/p/2", "The river near the stone was quiet.", "Okay then"]
+    assert all(len(t) <= 100 for t in texts)
+    assert list(weak_labels(np.array([features(t) for t in texts]))) == [-1, -1, 0, 0]
