@@ -73,9 +73,9 @@ def chunk_ranges(spark, folder):
 
 
 def max_gap_split(spark, folder):
-    """Long segments parted at the widest gaps between their words."""
+    """Long segments parted at the widest gaps between their words; those without words hide what is nested in them, but have no row."""
     words = F.transform("words", lambda w: F.struct(millis(w["start"]).alias("s"), millis(w["end"]).alias("e")))
-    seg = _seg(spark, folder, "words").withColumn("stamps", words).where("stamps IS NULL OR size(stamps) > 0")
+    seg = _seg(spark, folder, "words").withColumn("stamps", words)
     return folds.max_gap_split(seg.drop("words", "stamps"), seg.where("stamps IS NOT NULL").select("seg_id", "stamps"))
 
 

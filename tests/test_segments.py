@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkseg.operators import folds, overlaps, segments
+from sparkseg.plans import operators
 
 DAY = datetime.datetime(2025, 1, 1)
 
@@ -139,3 +140,10 @@ def test_relabel(spark):
     mapping = spark.createDataFrame([("r", "a", "Ann"), ("r", "a", "Zed"), ("q", "b", "Bo")], "rec_id string, speaker string, label string")
     got = segments.relabelled(seg(spark, [(0, 1, "a"), (1, 2, "b"), (2, 3, None)]), mapping)
     assert [r.label for r in got.orderBy("s").collect()] == ["Ann", None, None]
+
+
+def test_long_segments_with_empty_words_hide_nested_ones(spark, tmp_path):
+    word = "array<struct<word:string,start:double,end:double>>"
+    rows = [(1, "r", 0.0, 25.0, "a", [], DAY), (2, "r", 5.0, 9.0, "b", None, DAY), (3, "r", 30.0, 35.0, "a", None, DAY)]
+    spark.createDataFrame(rows, f"seg_id bigint, rec_id string, start double, end double, speaker string, words {word}, ingested_at timestamp").write.parquet(str(tmp_path / "seg_result.parquet"))
+    assert spans(operators.max_gap_split(spark, str(tmp_path))) == [(30_000, 35_000)]
