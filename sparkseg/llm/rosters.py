@@ -82,7 +82,14 @@ def _assigned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cost = np.full((len(labels), len(names)), 1.0)
             for label, name, _, likeness in pairs:
                 cost[labels.index(label), names.index(name)] = 1 - likeness
-            out += [(rec, label, speaker[names[j]]) for i, (label, j) in enumerate(zip(labels, cheapest(cost))) if j >= 0 and cost[i, j] <= 1 - SIMILAR + 1e-9]
+            met = {label: speaker[names[j]] for i, (label, j) in enumerate(zip(labels, cheapest(cost))) if j >= 0 and cost[i, j] <= 1 - SIMILAR + 1e-9}
+            like: dict[str, set[str]] = {}
+            for label, _, who, likeness in pairs:
+                if likeness >= SIMILAR - 1e-9:
+                    like.setdefault(label, set()).add(who)
+            # another spelling of a name that is taken
+            met |= {label: next(iter(who)) for label, who in like.items() if label not in met and len(who) == 1}
+            out += [(rec, label, who) for label, who in met.items()]
         yield pd.DataFrame(out, columns=["rec_id", "label", "who"])
 
 
@@ -111,7 +118,8 @@ def assign_labels(labels: DataFrame, alias: DataFrame) -> DataFrame:
     ``labels`` has (rec_id, label), keys by ``label_key``; repeated rows count once. A label
     is compared with the names of its recording that share the phonetic code of the first or
     last word; the pairs of at least ``SIMILAR`` go into the assignment of least total edit
-    distance, one name to one label. Labels without a partner have no row. Null and empty
+    distance, one name to one label. A label left over that is like the names of one speaker
+    only is that speaker, too. Labels without a partner have no row. Null and empty
     labels are left out; empty tables give an empty table.
     """
     left = labels.where("rec_id IS NOT NULL AND label <> ''").select("rec_id", "label").distinct().withColumn("code", F.explode(_blocks("label")))

@@ -76,6 +76,13 @@ def test_misspelled_names_go_to_the_nearest_speaker(spark):
     assert assign_labels(labels.where("false"), alias).count() == 0 and assign_labels(labels, alias.where("false")).count() == 0
 
 
+def test_a_second_spelling_goes_to_the_same_speaker(spark):
+    alias = spark.createDataFrame([("r", "SPEAKER_01", "Katherine"), ("r", "SPEAKER_02", "Marcus"), ("q", "SPEAKER_01", "Katrin Belmor"), ("q", "SPEAKER_02", "Kasrin Belmor")], ALIAS)
+    labels = spark.createDataFrame([("r", "katharine"), ("r", "katherine"), ("r", "katherin"), ("q", "katrin belmor"), ("q", "kasrin belmor"), ("q", "kawrin belmor")], "rec_id string, label string")
+    got = {(r.rec_id, r.label): r.who for r in assign_labels(labels, alias).collect()}
+    assert got == {("r", "katharine"): "SPEAKER_01", ("r", "katherine"): "SPEAKER_01", ("r", "katherin"): "SPEAKER_01", ("q", "katrin belmor"): "SPEAKER_01", ("q", "kasrin belmor"): "SPEAKER_02"}
+
+
 def brute(rows):
     seen, out = set(), []
     for rec in sorted({r[0] for r in rows}):
