@@ -330,8 +330,8 @@ def latin_phrases(spark, folder):
 
 
 def pronounced(spark, folder):
-    """Latin phrases of Korean texts replaced by a stand-in pronunciation."""
-    docs = table(spark, folder, "documents").where("lang = 'ko'")
+    """Latin phrases of Korean texts replaced by a stand-in pronunciation; texts without a label are Korean if they have a Hangul letter."""
+    docs = table(spark, folder, "documents").where(r"lang = 'ko' OR (lang IS NULL AND text RLIKE '[ᄀ-ᇿ㄰-㆏가-힣]')")
     return docs.select("doc_id", tx.pronounced("text", lambda p: "<" + p.lower() + ">").alias("text"))
 
 

@@ -9,6 +9,7 @@ from sparkseg.functions import vectors as vx
 from sparkseg.functions.columns import hash_edge, millis
 from sparkseg.functions.models import band_embedding, energy_diarizer, energy_speech, is_music, per_sound
 from sparkseg.operators import quality
+from sparkseg.plans import operators
 
 
 def one(spark, expr, value=None, kind="string"):
@@ -113,3 +114,10 @@ def test_music_is_strictly_above(spark):
 def test_hash_edge(spark):
     assert hash_edge(2) == 2**63 - 1 and hash_edge(0) == -(2**63) and hash_edge(0.5) == 0
     spark.range(1).where(F.xxhash64("id") <= hash_edge(0.9999999)).count()
+
+
+def test_korean_texts_without_a_label_are_pronounced(spark, tmp_path):
+    rows = [(1, "이 open mic은", "ko"), (2, "이 open mic은", None), (3, "the open mic", None), (4, "이 open mic", "en"), (5, None, "ko")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text for r in operators.pronounced(spark, str(tmp_path)).collect()}
+    assert got == {1: "이 <open mic>은", 2: "이 <open mic>은", 5: None}
