@@ -9,22 +9,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from sparkseg.llm.sampling import drawn
 from sparkseg.llm.tokenizer import BATCH, FOLDER, VOCABULARY, broadcast_model, encoder
 from sparkseg.session import checkpointed
 
 CAPACITY = 2048
 #: Hash buckets of a document's vector, dimensions it is projected to, bits of each on the curve.
-BUCKETS, DIMENSIONS, BITS = 1024, 3, 10
-#: Neighbouring items that are packed together, largest first; containers that stay open behind them.
-WINDOW, OPEN = 4096, 1024
-#: Items of a partition of the curve, and the fewest worth a partition of their own.
-PARTITION_ITEMS, LEAST_ITEMS = 250_000, 5_000
+BUCKETS, DIMENSIONS, BITS = 1024, 4, 10
+#: Documents on which the projection is fitted: those of the least hashes of the key.
+SAMPLE = 2000
+#: Neighbours that are packed together, largest first, and places of the curve over which a container stays open.
+WINDOW, SPAN = 64, 512
+#: Cells of the curve whose items are counted, as bits, and about how many items are packed one after another.
+CELL_BITS, RUN_ITEMS = 15, 10_000
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -58,17 +60,37 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-_PROJECTION = np.random.default_rng(7).standard_normal((BUCKETS, DIMENSIONS))
+_ANY_AXES = np.random.default_rng(7).standard_normal((DIMENSIONS, BUCKETS))
 
 
-def curve_keys(counts: np.ndarray) -> np.ndarray:
-    """Keys of documents, given by their counts in the hash buckets."""
-    weight = np.sqrt(counts)
+def _vectors(counts: np.ndarray) -> np.ndarray:
+    weight = np.sqrt(counts.astype(np.float64))
     length = np.linalg.norm(weight, axis=1, keepdims=True)
-    at = (weight / np.where(length > 0, length, 1)) @ _PROJECTION
-    # a logistic curve close to the normal distribution function spreads the coordinates evenly
-    even = 1 / (1 + np.exp(-1.702 * at))
-    return hilbert_keys(np.minimum((even * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
+    return weight / np.where(length > 0, length, 1)
+
+
+class Projection:
+    """The directions in which hashed vectors differ most, and even steps along each."""
+
+    def __init__(self, counts: np.ndarray):
+        """Principal axes of a sample of documents; fixed ones where it has too few different texts."""
+        x = _vectors(counts.reshape(-1, BUCKETS))
+        self.mean = x.mean(axis=0) if len(x) else np.zeros(BUCKETS)
+        apart = x - self.mean
+        axes = np.linalg.eigh(apart.T @ apart + 1e-9 * _ANY_AXES.T @ _ANY_AXES)[1].T[: -DIMENSIONS - 1 : -1]
+        # either direction is as good: the one whose greatest part is positive
+        self.axes = axes.T * np.sign(axes[np.arange(DIMENSIONS), np.abs(axes).argmax(axis=1)])
+        at = self.at(counts.reshape(-1, BUCKETS))
+        steps = np.linspace(0, 1, (1 << BITS) + 1)[1:-1]
+        self.edges = np.quantile(at, steps, axis=0) if len(at) else np.zeros((len(steps), DIMENSIONS))
+
+    def at(self, counts: np.ndarray) -> np.ndarray:
+        return np.round((_vectors(counts) - self.mean) @ self.axes, 9)
+
+    def keys(self, counts: np.ndarray) -> np.ndarray:
+        """Places on the curve of documents, given by their counts in the hash buckets."""
+        at = self.at(counts)
+        return hilbert_keys(np.stack([np.searchsorted(self.edges[:, j], at[:, j]) for j in range(DIMENSIONS)], axis=1))
 
 
 def _packed(ids: bytes) -> int:
@@ -76,12 +98,36 @@ def _packed(ids: bytes) -> int:
     return len(ids) // 4 * BUCKETS + zlib.crc32(ids) % BUCKETS
 
 
+def _counted(units: list[int]) -> tuple[int, np.ndarray]:
+    """Tokens of a text and counts in the hash buckets, from its units as ``_packed`` gives them."""
+    each = np.array(units, dtype=np.int64)
+    return int((each // BUCKETS).sum()), np.bincount(each % BUCKETS, minlength=BUCKETS)
+
+
+def fitted(df: DataFrame, key: str = "doc_id", text: str = "text", folder: str = FOLDER, vocabulary: str = VOCABULARY, sample: int = SAMPLE) -> Projection:
+    """The projection of a sample of the documents that have text, 4 KB of counts each."""
+    model = broadcast_model(df.sparkSession, folder, vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = encoder(model, "sizes", _packed).units
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                counts = [_counted(units(t))[1].astype(np.float32).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, type=pa.binary())], names=["h", "counts"])
+
+    rows = drawn(df.select(key, text), key, sample, lambda rows: rows.where(F.length(text) > 0).select("h", text).mapInArrow(run, "h bigint, counts binary"))
+    return Projection(np.array([np.frombuffer(r["counts"], dtype=np.float32) for r in rows]).reshape(-1, BUCKETS))
+
+
 def sized(df: DataFrame, key: str = "doc_id", text: str = "text", folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
     """Rows (key, tokens, curve) of all rows: the size in tokens and the place on the curve.
 
     Null and empty texts have no tokens.
     """
-    model = broadcast_model(df.sparkSession, folder, vocabulary)
+    spark = df.sparkSession
+    model = broadcast_model(spark, folder, vocabulary)
+    projection = spark.sparkContext.broadcast(fitted(df, key, text, folder, vocabulary))
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,38 +138,55 @@ def sized(df: DataFrame, key: str = "doc_id", text: str = "text", folder: str =
                 tokens, counts = np.zeros(part.num_rows, dtype=np.int64), np.zeros((part.num_rows, BUCKETS))
                 for i, t in enumerate(part.column(1).to_pylist()):
                     if t:
-                        each = np.array(units(t), dtype=np.int64)
-                        tokens[i] = (each // BUCKETS).sum()
-                        counts[i] = np.bincount(each % BUCKETS, minlength=BUCKETS)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens), pa.array(curve_keys(counts))], names=[key, "tokens", "curve"])
+                        tokens[i], counts[i] = _counted(units(t))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens), pa.array(projection.value.keys(counts))], names=[key, "tokens", "curve"])
 
     return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, tokens bigint, curve bigint")
 
 
+def runs_of(counts: list[tuple[int, int]], most: int = RUN_ITEMS) -> list[tuple[int, int, int]]:
+    """For each cell (number, items) of the curve, in order, the first of its runs and their number.
+
+    Cells of few items share a run with their neighbours; one of more than ``most`` has runs of its own.
+    """
+    out, run, held = [], 0, 0
+    for cell, n in sorted(counts):
+        if held and held + n > most:
+            run, held = run + 1, 0
+        own = max(1, math.ceil(n / most))
+        out.append((cell, run, own))
+        held += n
+        if own > 1:
+            run, held = run + own, 0
+    return out
+
+
 class Shelf:
     """Open containers by free space; an item goes where it leaves least free."""
 
-    def __init__(self, capacity: int, most: int):
-        self.capacity, self.most = capacity, most
-        self.free: list[tuple[int, int]] = []
+    def __init__(self, capacity: int, span: int = SPAN):
+        self.capacity, self.span = capacity, span
+        self.free: list[tuple[int, int, int]] = []
         self.made = 0
 
-    def put(self, size: int) -> int:
-        """Number of the container that takes an item."""
-        i = bisect_left(self.free, (size, -1))
+    def close(self, last: int) -> None:
+        """No more into containers that ``last``, a place on the curve, is ``span`` or more ahead of."""
+        self.free = [f for f in self.free if last - f[2] < self.span]
+
+    def put(self, size: int, place: int) -> int:
+        """Number of the container that takes an item of a place on the curve."""
+        i = bisect_left(self.free, (size, -1, -1))
         if i < len(self.free):
-            left, box = self.free.pop(i)
+            left, box, first = self.free.pop(i)
         else:
-            left, box = self.capacity, self.made
+            left, box, first = self.capacity, self.made, place
             self.made += 1
         if left > size or not size:
-            insort(self.free, (left - size, box))
-            if len(self.free) > self.most:
-                self.free.pop(0)  # the fullest takes no more
+            insort(self.free, (left - size, box, min(first, place)))
         return box
 
 
-def pack(df: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
+def pack(df: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", folder: str = FOLDER, vocabulary: str = VOCABULARY, window: int = WINDOW, span: int = SPAN) -> DataFrame:
     """Rows (container, key, piece, first, tokens): which tokens of which row lie in which container.
 
     A row of at most ``capacity`` tokens lies in one container; a longer one is cut into full
@@ -131,49 +194,63 @@ def pack(df: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", text: str
     take no space in some container. Repeated rows and null keys are items of their own; further
     columns are ignored; an empty table gives an empty table.
 
-    The rows are range-partitioned by the curve, then the key and size, so a third of all rows in
-    one place of the curve still spreads over partitions. A task keeps a window of neighbours
-    and a bounded number of open containers, packs each window largest first, best fit, and
-    closes the fullest. Sizes are written once, as the range bounds need a pass of their own.
+    Containers hold neighbours: the rows of one lie less than ``span`` places apart in the order of the
+    curve. The items of each cell of the curve, at most ``2 ** CELL_BITS`` numbers, decide
+    where the curve is cut into runs of about ``RUN_ITEMS``; a cell of more, as of many copies of one text,
+    is spread over runs by hash. Runs, and so containers, depend on the rows alone and not on the cluster.
+    A task takes a run in order, packs each window of neighbours largest first, best fit, and
+    closes what the curve has left behind, so it holds at most ``span`` open containers. Sizes are
+    written once, as the cells are counted before the items are moved.
     """
     if capacity < 1:
         raise ValueError("the capacity must be positive")
-    items = checkpointed(sized(df, key, text, folder, vocabulary))
-    rows = items.count()
-    parallel = items.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, math.ceil(rows / PARTITION_ITEMS), min(parallel, rows // LEAST_ITEMS))
+    if not 0 < window <= span:
+        raise ValueError("the window must be positive and within the span")
+    spark = df.sparkSession
+    items = checkpointed(sized(df, key, text, folder, vocabulary)).withColumn("__cell", F.shiftright("curve", DIMENSIONS * BITS - CELL_BITS))
+    counts = [(r["__cell"], r["count"]) for r in items.groupBy("__cell").count().collect()]
+    runs = spark.createDataFrame(runs_of(counts), "__at bigint, __first bigint, __own bigint")
     field = items.schema[key]
     of_key = to_arrow_schema(T.StructType([field])).field(0).type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
-        shelf, waiting = Shelf(capacity, OPEN), []
+        now, shelf, waiting, seen = None, Shelf(capacity, span), [], 0
 
-        def place(window: list[tuple]) -> pa.RecordBatch:
-            out = []
-            for i, size in window:
+        def place(some: list[tuple]) -> pa.RecordBatch:
+            nonlocal seen
+            base, out = now << 40, []
+            shelf.close(seen + len(some) - 1)
+            for i, size in some:
                 whole, rest = divmod(size, capacity)
                 for p in range(whole):
-                    out.append((base + shelf.made, i, p, p * capacity, capacity))
+                    out.append((base + shelf.made, i, p, p * capacity, capacity, seen))
                     shelf.made += 1
                 if rest or not whole:
-                    out.append((None, i, whole, whole * capacity, rest))
+                    out.append((None, i, whole, whole * capacity, rest, seen))
+                seen += 1
             out.sort(key=lambda r: -r[4])
-            boxed = [r if r[0] is not None else (base + shelf.put(r[4]), *r[1:]) for r in out]
+            boxed = [r if r[0] is not None else (base + shelf.put(r[4], r[5]), *r[1:]) for r in out]
             types = [pa.int64(), of_key, pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in boxed], type=t) for k, t in enumerate(types)], names=["container", key, "piece", "first", "tokens"])
 
         for b in batches:
-            waiting += zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-            while len(waiting) >= WINDOW:
-                yield place(waiting[:WINDOW])
-                del waiting[:WINDOW]
+            for number, i, size in zip(*[c.to_pylist() for c in b.columns]):
+                if number != now:
+                    if waiting:
+                        yield place(waiting)
+                    now, shelf, waiting, seen = number, Shelf(capacity, span), [], 0
+                waiting.append((i, size))
+                if len(waiting) == window:
+                    yield place(waiting)
+                    waiting = []
         if waiting:
             yield place(waiting)
 
-    order = ["curve", key, "tokens"]
-    placed = items.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return placed.select(key, "tokens").mapInArrow(run, f"container bigint, `{key}` {field.dataType.simpleString()}, piece bigint, first bigint, tokens bigint")
+    number = F.col("__first") + F.pmod(F.xxhash64(key, "tokens"), F.col("__own"))
+    placed = items.join(F.broadcast(runs), F.col("__cell") == F.col("__at")).withColumn("__run", number)
+    order = ["__run", "curve", key, "tokens"]
+    sorted_items = placed.repartition("__run").sortWithinPartitions(*order).select("__run", key, "tokens")
+    return sorted_items.mapInArrow(run, f"container bigint, `{key}` {field.dataType.simpleString()}, piece bigint, first bigint, tokens bigint")
 
 
 def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
