@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sparkseg.functions.columns import col, collapsed
 from sparkseg.operators.skew import salted_left_join
 
-#: A label that names a speaker by number: SPEAKER_01, spk-1, [s1], S1, Speaker #1, 1.
-NUMBERED = r"(?i)^[\s\[\](){}<>#*\"'.:]*(?:(?:speaker|spkr|spk|s)[\s._#:-]*)?0*(\d{1,9})[\s\[\](){}<>#*\"'.:]*$"
+#: A label that names a speaker by number: SPEAKER_01, spk-1, [s1], S1, Speaker #1, 1; as many digits as a whole number holds.
+NUMBERED = r"(?i)^[\s\[\](){}<>#*\"'.:]*(?:(?:speaker|spkr|spk|s)[\s._#:-]*)?0*(\d{1,18})[\s\[\](){}<>#*\"'.:]*$"
 
 
 def label_key(label: Column | str) -> Column:
