@@ -20,15 +20,15 @@ def fits(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYT
     return (table.select(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("n")).first()["n"] or 0) <= size
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, on: dict[str, str], salts: int = SALTS, most: int = BROADCAST_ROWS) -> DataFrame:
+def salted_left_join(left: DataFrame, right: DataFrame, on: dict[str, str], salts: int = SALTS, most: int = BROADCAST_ROWS, written: bool = False) -> DataFrame:
     """Left join of a large table with a smaller one that is unique in its key.
 
     ``on`` maps columns of ``left`` to those of ``right``, which must differ in name. ``right`` is
-    written to the shared folder and counted. Up to ``most`` rows of ``BROADCAST_BYTES`` it is broadcast. Beyond, rows of
+    written to the shared folder, unless it is ``written`` already, and counted. Up to ``most`` rows of ``BROADCAST_BYTES`` it is broadcast. Beyond, rows of
     ``left`` go to one of ``salts`` parts by turns, each row of ``right`` is repeated in every part,
     and both are shuffled: a hot key is spread over as many tasks.
     """
-    kept = checkpointed(right)
+    kept = right if written else checkpointed(right)
     condition = F.lit(True)
     for a, b in on.items():
         condition = condition & (F.col(a) == F.col(b))
