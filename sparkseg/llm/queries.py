@@ -10,7 +10,6 @@ from sparkseg.llm.language import identify, mislabelled
 from sparkseg.llm.packing import fill, pack
 from sparkseg.llm.spam import spam_pages
 from sparkseg.llm.splitting import split_segments
-from sparkseg.llm.spoken import ALSO_WORDS, HESITATIONS, UNSPACED, UNSPACED_BEFORE_MARK
 from sparkseg.llm.tokenizer import decode_corpus, encode_corpus
 from sparkseg.llm.turns import spoken_segments, turn_texts, turns
 from sparkseg.session import table
@@ -36,7 +35,7 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Turns of each recording."""
-    return turns(spoken_segments(_segments(spark, folder), table(spark, folder, "speaker_alias")))
+    return turns(spoken_segments(_segments(spark, folder), table(spark, folder, "speaker_alias"), texts=False))
 
 
 def p3_turns(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,7 +121,12 @@ _NUMBER = r"(?i)^(?:>>\s*)?[\[(<]?\s*(?:speaker|spkr|spk|s)[\s._#-]*(\d{1,6})\s*
 _PART = r"\p{L}[\p{L}\p{M}''’.-]*"
 _NAME = rf"^(?:>>\s*)?[\[<]?\s*({_PART}(?: {_PART}){{0,3}})\s*(?:[\]>]\s*:?|[:>–—：]|-\s)\s*"
 _SOUND = r"\(\([^()]{0,40}\)\)|\[[^\[\]]{0,40}\]|\([^()]{0,40}\)|<[^<>]{0,40}>|\{[^{}]{0,40}\}|（[^（）]{0,40}）|【[^【】]{0,40}】|\*[^*\s][^*]{0,38}\*|♪[^♪]{0,40}♪|♪"
-_SOUNDS = ", ".join(f"'{w}'" for w in HESITATIONS + ALSO_WORDS + UNSPACED + UNSPACED_BEFORE_MARK)
+# hesitation sounds by how they are spelled, not by the operator's lists
+_SOUNDS = "|".join([
+    "u+(?:h+m*|m+)", "h+m+", "m{2,}h*m*", "mhm", "e+r+m*", "e+h+m*", "ahm", "e+u+h*", "heu+", "h[ue]m", "ahn", "hã", "[äö]h+m*", "éé", "em",
+    "음+", "으음", "어", "에", "э+м*", "э-э", "м{2,}", "امم+", "آآ", "م+إ?م+م", "إم+", "उम्म", "अम्म", "हम्म", "म", "अं", "ऊँ",
+    "え+ー?と", "えっと", "うーん", "あのー", "んー", "[嗯呃额唔啊]+",
+])
 
 SQL = {
     "p6_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
@@ -142,7 +146,7 @@ bodies AS (
     CASE WHEN num <> '' THEN CAST(num AS BIGINT) WHEN named IS NOT NULL THEN CAST(named[9:] AS BIGINT) WHEN lead_num <> '' THEN CAST(lead_num AS BIGINT) ELSE CAST(lead_named[9:] AS BIGINT) END AS who FROM found),
 spoken AS (
   SELECT * FROM bodies WHERE who IS NOT NULL AND len(list_filter(regexp_split_to_array(lower(regexp_replace(regexp_replace(body, '{_TIME}', ' ', 'g'), '{_SOUND}', ' ', 'g')), '[\\s.,…、，。!?？！|-]+'),
-    lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}]') AND w NOT IN ({_SOUNDS}))) > 0),
+    lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}]') AND NOT regexp_full_match(w, '{_SOUNDS}'))) > 0),
 marked AS (SELECT *, CASE WHEN who = lag(who) OVER (PARTITION BY rec_id ORDER BY s, e, seg_id) THEN 0 ELSE 1 END AS fresh FROM spoken),
 grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY rec_id ORDER BY s, e, seg_id ROWS UNBOUNDED PRECEDING) AS g FROM marked)
 SELECT rec_id, 'SPEAKER_' || CASE WHEN any_value(who) < 10 THEN '0' ELSE '' END || any_value(who) AS speaker, min(s) AS start_ms, max(e) AS end_ms FROM grouped GROUP BY rec_id, g

@@ -11,12 +11,12 @@ from sparkseg.functions.speakers import label_key
 _CLOCK = r"\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?"
 #: Time marks: [00:01:02], <00:01:02.345>, (01:02), [62s], 00:01:02,345 --> 00:01:04,000 and 00:01:02.345 |.
 TIME = rf"(?:[\[<(]\s*(?:{_CLOCK}|\d+(?:\.\d+)?\s*s)\s*[\]>)]|\d{{1,3}}:\d{{2}}:\d{{2}}[.,]\d{{1,3}}(?:\s*-->\s*\d{{1,3}}:\d{{2}}:\d{{2}}[.,]\d{{1,3}})?\s*\|?)"
-#: Sound annotations: anything short in brackets, between stars or notes.
-SOUND = r"(?:\(\([^()]{0,40}\)\)|\[[^\[\]]{0,40}\]|\([^()]{0,40}\)|<[^<>]{0,40}>|\{[^{}]{0,40}\}|（[^（）]{0,40}）|【[^【】]{0,40}】|\*[^*\s][^*]{0,38}\*|♪[^♪]{0,40}♪|♪)"
+#: Sound annotations: whatever is in brackets, between stars or notes, however long.
+SOUND = r"(?:\(\([^()]*\)\)|\[[^\[\]]*\]|\([^()]*\)|<[^<>]*>|\{[^{}]*\}|（[^（）]*）|【[^【】]*】|\*[^*\s][^*\n]*\*|♪[^♪\n]*♪|♪)"
 
 _NUMBERED = r"(?:speaker|spkr|spk|s)[\s._#-]*"
 #: A numbered label at the beginning of a text; the number is its group.
-NUMBER_LABEL = rf"(?i)^(?:>>\s*)?(?:[\[(<]\s*(?={_NUMBERED}\d+\s*[\])>]))?{_NUMBERED}(\d{{1,6}})\s*(?:[\])>]\s*:?|[:–—|]|-\s)\s*"
+NUMBER_LABEL = rf"(?i)^(?:>>\s*)?(?:[\[(<]\s*(?={_NUMBERED}\d+\s*[\])>]))?{_NUMBERED}0*(\d{{1,18}})\s*(?:[\])>]\s*:?|[:–—|]|-\s)\s*"
 _PART = r"\p{L}[\p{L}\p{M}'’.-]*+"
 #: What may be a name used as a label there; it is one if the recording has it.
 NAME_LABEL = rf"^(?:>>\s*)?[\[<]?\s*({_PART}(?: {_PART}){{0,3}})\s*(?:[\]>]\s*:?|[:–—：]|-\s)\s*"

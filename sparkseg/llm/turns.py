@@ -16,38 +16,38 @@ from sparkseg.session import checkpointed
 BUCKET_MS = 3_600_000
 
 
-def spoken_segments(df: DataFrame, alias: DataFrame) -> DataFrame:
+def spoken_segments(df: DataFrame, alias: DataFrame, texts: bool = True) -> DataFrame:
     """Segments with valid times, a speaker and spoken words.
 
     ``df`` has seg_id, rec_id, start, end, speaker, text, ingested_at. Out come seg_id,
-    rec_id, s, e (ms), ingested_at, who, speech. The speaker is that of ``speaker`` or, if it
-    names none, of the label at the beginning of ``text``: by number, else by assignment of
-    names to the recording's roster. Rows with a null in a needed column have no speaker, time
-    or words and are left out.
+    rec_id, s, e (ms), ingested_at, who, speech, which is null unless ``texts``. The speaker is that of ``speaker``
+    or, if it names none, of the label at the beginning of ``text``: by number, else by the names of the
+    recording and the rosters of all transcripts. Rows with a null in a needed column have no speaker,
+    time or words and are left out.
+
+    Texts are read once: what they give is written to the shared folder, without the texts unless they are asked for,
+    and both the labels and the segments come from there.
     """
-    timed = df.select("seg_id", "rec_id", millis("`start`").alias("s"), millis("`end`").alias("e"), "speaker", "text", "ingested_at").where("e > s AND rec_id IS NOT NULL")
-    read = (
+    timed = df.select("seg_id", "rec_id", millis("`start`").alias("s"), millis("`end`").alias("e"), "speaker", "text", "ingested_at").where("e > s AND rec_id IS NOT NULL AND text IS NOT NULL")
+    wordy = (
         with_speech(timed)
         .withColumn("number", speaker_number("speaker"))
         .withColumn("label", F.when(F.col("number").isNull(), label_key("speaker")))
         .withColumn("words", has_words(F.col("body")))
         .withColumn("words_named", F.when(F.col("lead_name").isNotNull(), has_words(F.col("body_named"))).otherwise(F.col("words")))
-        .drop("speaker", "text")
+        .where("words")  # what a label leaves has no more words
+        .drop("speaker", "text", "words")
     )
-    # labels come from the narrow columns, in a scan of their own
-    raw = df.where("rec_id IS NOT NULL").select("rec_id", speaker_number("speaker").alias("n"), label_key("speaker").alias("label"))
-    keys = raw.where("n IS NULL").select("rec_id", "label").unionByName(df.select("rec_id", leading_name(beginning(F.col("text"))).alias("label")))
+    read = checkpointed(wordy if texts else wordy.drop("body", "body_named"))
+    keys = read.select("rec_id", F.explode(F.array("label", "lead_name")).alias("label"))
     who = checkpointed(assign_labels(keys, alias))  # read for both labels
     by_label = who.withColumnsRenamed({"rec_id": "r1", "label": "l1", "who": "w1"})
     by_lead = who.withColumnsRenamed({"rec_id": "r2", "label": "l2", "who": "w2"})
-    joined = salted_left_join(salted_left_join(read, by_label, {"rec_id": "r1", "label": "l1"}), by_lead, {"rec_id": "r2", "lead_name": "l2"})
+    joined = salted_left_join(salted_left_join(read, by_label, {"rec_id": "r1", "label": "l1"}, written=True), by_lead, {"rec_id": "r2", "lead_name": "l2"}, written=True)
     named = F.col("w2").isNotNull()
-    return joined.select(
-        "seg_id", "rec_id", "s", "e", "ingested_at",
-        F.coalesce(speaker_name("number"), F.col("w1"), speaker_name("lead_number"), F.col("w2")).alias("who"),
-        F.when(named, F.col("body_named")).otherwise(F.col("body")).alias("body"),
-        F.when(named, F.col("words_named")).otherwise(F.col("words")).alias("words"),
-    ).where("who IS NOT NULL AND words").drop("words").withColumn("speech", clean(speech(F.col("body")))).drop("body")
+    kept = joined.where(~named | F.col("words_named")).withColumn("who", F.coalesce(speaker_name("number"), F.col("w1"), speaker_name("lead_number"), F.col("w2"))).where("who IS NOT NULL")
+    said = clean(speech(F.when(named, F.col("body_named")).otherwise(F.col("body")))) if texts else F.lit(None).cast("string")
+    return kept.select("seg_id", "rec_id", "s", "e", "ingested_at", "who", said.alias("speech"))
 
 
 def turn_parts(segments: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:

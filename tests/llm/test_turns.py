@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkseg.llm.rosters import assign_labels, cheapest
+from sparkseg.llm.rosters import assign_labels, cheapest, nicknames, settled, sound_code
 from sparkseg.llm.spoken import clean, has_words, speech, with_speech
 from sparkseg.llm.turns import spoken_segments, turn_parts, turn_texts, turns
 
@@ -83,6 +83,66 @@ def test_a_second_spelling_goes_to_the_same_speaker(spark):
     assert got == {("r", "katharine"): "SPEAKER_01", ("r", "katherine"): "SPEAKER_01", ("r", "katherin"): "SPEAKER_01", ("q", "katrin belmor"): "SPEAKER_01", ("q", "kasrin belmor"): "SPEAKER_02"}
 
 
+def assigned(spark, labels, alias):
+    got = assign_labels(spark.createDataFrame(labels, "rec_id string, label string"), spark.createDataFrame(alias, ALIAS)).collect()
+    assert len({(r.rec_id, r.label) for r in got}) == len(got)
+    return {(r.rec_id, r.label): r.who for r in got}
+
+
+@pytest.mark.parametrize("labels", [["john smith", "jon smith", "john smyth"], ["jon smith", "john smyth"], ["jhon smith", "john smit", "jon smyth", "johnn smith"]])
+def test_no_spelling_of_a_name_is_lost(spark, labels):
+    alias = [("r", "SPEAKER_01", "John Smith"), ("r", "SPEAKER_02", "Mary Jones")]
+    assert assigned(spark, [("r", x) for x in labels], alias) == {("r", x): "SPEAKER_01" for x in labels}
+
+
+@pytest.mark.parametrize(("name", "label"), [("Мария", "мариа"), ("Екатерина Волкова", "екатирина волкова"), ("김민준 교수님", "김민쥰 교수님"), ("さくらこばやし", "サクラこばやし"), ("محمد العربي", "محمد العربى"), ("Zoë Müller", "zoe müller"), ("Kathryn Fox", "cathryn fox"), ("अनिल कुमार", "अनील कुमार")])
+def test_names_of_any_script(spark, name, label):
+    other = ("r", "SPEAKER_02", "Quentin Zog")
+    found = assigned(spark, [("r", label), ("r", "unlike anybody")], [("r", "SPEAKER_01", name), other])
+    share = 1 - sum(a != b for a, b in zip(name.lower(), label)) / len(name)
+    assert found == ({("r", label): "SPEAKER_01"} if share >= 0.8 else {})
+    assert sound_code(name.lower().split()[0]) == sound_code(label.split()[0])
+
+
+def test_short_forms_are_known_from_other_transcripts(spark):
+    alias = [("q", "SPEAKER_00", "Katharine Belmor"), ("q", "SPEAKER_00", "Kit"), ("r", "SPEAKER_03", "Katharine Belmor"), ("r", "SPEAKER_01", "Tom Ash"), ("p", "SPEAKER_05", "Kit")]
+    assert {tuple(r) for r in nicknames(spark.createDataFrame([(r, a.lower(), s) for r, s, a in alias], "rec_id string, alias_key string, alias_speaker string")).collect()} == {("katharine belmor", "kit")}
+    labels = [("r", "kit"), ("r", "tom ash"), ("p", "katharine belmor"), ("o", "kit"), ("q", "kitt")]
+    assert assigned(spark, labels, alias) == {("r", "kit"): "SPEAKER_03", ("r", "tom ash"): "SPEAKER_01", ("p", "katharine belmor"): "SPEAKER_05"}
+
+
+def test_groups_of_spellings_are_assigned():
+    pairs = [("jon smit", "john smith", "S1", 0.8), ("jon smit", "joan smith", "S2", 0.8), ("joan smit", "joan smith", "S2", 0.9), ("joan smit", "john smith", "S1", 0.7), ("joann smith", "joan smith", "S2", 0.91), ("jo smith", "john smith", "S1", 0.8), ("jo smith", "joan smith", "S2", 0.8)]
+    got = dict(settled(pairs))
+    assert got == {"jon smit": "S1", "joan smit": "S2", "joann smith": "S2"} or got == {"jo smith": "S1", "joan smit": "S2", "joann smith": "S2"}
+    assert settled([("ab", "x", "S1", 0.9), ("ab", "y", "S2", 0.9)]) == []
+    assert settled([("ab", "x", "S1", 0.9), ("ab", "y", "S2", 0.8)]) == [("ab", "S1")]
+    assert settled([]) == []
+
+
+def test_a_roster_of_many_names(spark):
+    """Planted misspellings: each goes to its own speaker, whatever else is in the roster."""
+    rng = random.Random(5)
+    syllables = ["bel", "dor", "fin", "gar", "hal", "jor", "kas", "lum", "mir", "nov", "pel", "ros", "sten", "tav", "vor", "zan"]
+    names = list({f"{''.join(rng.sample(syllables, 3))} {''.join(rng.sample(syllables, 3))}" for _ in range(60)})
+    alias = [(f"r{k % 3}", f"SPEAKER_{k:02d}", n.title()) for k, n in enumerate(names)]
+    labels, want = [], {}
+    for k, n in enumerate(names):
+        for _ in range(3):
+            i = rng.randrange(2, len(n) - 1)
+            wrong = n[:i] + rng.choice("aeiou") + n[i + rng.randrange(2) :]
+            labels.append((f"r{k % 3}", wrong))
+            want[f"r{k % 3}", wrong] = f"SPEAKER_{k:02d}"
+    got = assigned(spark, labels + labels, alias)
+    assert sum(got.get(k) == w for k, w in want.items()) >= 0.98 * len(want)
+
+
+@pytest.mark.parametrize("text", ["(audience applauds loudly while the host introduces the guest)", "[a very long description of what is heard in the studio before the show]", "*" + "laughs for a long time " * 4 + "*", "（" + "拍手" * 40 + "）"])
+def test_annotations_of_any_length_are_no_words(spark, text):
+    df = spark.createDataFrame([(text, text + " yes")], "text string, more string")
+    assert list(df.select(has_words(F.col("text")), has_words(F.col("more"))).first()) == [False, True]
+
+
 def brute(rows):
     seen, out = set(), []
     for rec in sorted({r[0] for r in rows}):
