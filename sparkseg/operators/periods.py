@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkseg.session import checkpointed
+
 #: Length of the time buckets into which the intervals of one key are split.
 BUCKET_MS = 3_600_000
 
@@ -18,10 +20,11 @@ def continuous_periods(df: DataFrame, keys: list[str], start: str = "start_ms",
     empty table, further columns are ignored.
 
     ``session_window`` with a duration of its own for each row merges within a bucket of
-    time, so that no task holds a whole key. One row per bucket then carries the greatest
-    end of all earlier buckets forward: a session that this end reaches continues an earlier
-    period. Gaps lie between a period and the next start, taken with ``lead`` within the
-    bucket and across buckets from the bucket rows.
+    time, so that no task holds a whole key; touching sessions are joined behind it. What is left of a bucket,
+    disjoint stretches in order, is one row, written once. The greatest end of all earlier buckets is carried forward: a
+    stretch that it reaches continues an earlier period. All periods of a bucket but the last end there,
+    and the gaps behind them lead to the next stretch; the last one, what continues it and the gap to the next
+    period are put together from one row of edges per bucket.
     """
     keyed = df.select(*[F.col(k) for k in keys], F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e")).where("e > s")
     bucket = F.floor(F.col("s") / bucket_ms).alias("b")
@@ -34,30 +37,27 @@ def continuous_periods(df: DataFrame, keys: list[str], start: str = "start_ms",
     # touching sessions: joined here whatever session_window makes of them
     reach = F.max("e").over(local.rowsBetween(Window.unboundedPreceding, -1))
     touched = merged.withColumn("first", F.coalesce(F.col("s") > reach, F.lit(True))).withColumn("own", F.last(F.when(F.col("first"), F.col("s")), True).over(local))
-    sessions = touched.groupBy(*group, "own").agg(F.max("e").alias("e")).withColumnRenamed("own", "s")
+    stretches = touched.groupBy(*group, F.col("own").alias("s")).agg(F.max("e").alias("e"))
+    buckets = checkpointed(stretches.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("all"), F.max("e").alias("most")))
 
     across = Window.partitionBy(*keys).orderBy("b")
-    before, after = across.rowsBetween(Window.unboundedPreceding, -1), across.rowsBetween(1, Window.unboundedFollowing)
-    carried = sessions.groupBy(*group).agg(F.max("e").alias("most")).withColumn("carry", F.max("most").over(before)).drop("most")
-    flagged = _same(sessions, carried, group).withColumn("new", F.coalesce(F.col("s") > F.col("carry"), F.lit(True))).drop("carry")
-    starts = (
-        flagged.groupBy(*group)
-        .agg(F.max(F.when(F.col("new"), F.col("s"))).alias("last"), F.min(F.when(F.col("new"), F.col("s"))).alias("next"))
-        .withColumn("open", F.last("last", True).over(before))
-        .withColumn("then", F.first("next", True).over(after))
-        .select(*group, "open", "then")
-    )
-    following = F.lead("p").over(Window.partitionBy(*group).orderBy("p"))
-    owned = _same(flagged, starts, group).withColumn("p", F.when(F.col("new"), F.col("s")).otherwise(F.col("open")))
-    # the next start is known where the period itself starts
-    known = owned.where("new").withColumn("n", F.coalesce(following, F.col("then"))).select(*keys, "p", "e", "n")
-    tails = owned.where("NOT new").select(*keys, "p", "e", F.lit(None).cast("bigint").alias("n"))
-    periods = known.unionByName(tails).groupBy(*keys, "p").agg(F.max("e").alias("q"), F.max("n").alias("n"))
-    both = F.array(
-        F.struct(F.lit("period").alias("kind"), F.col("p").alias("start_ms"), F.col("q").alias("end_ms")),
-        F.struct(F.lit("gap").alias("kind"), F.col("q").alias("start_ms"), F.col("n").alias("end_ms")),
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    carried = buckets.select(*group, F.max("most").over(before).alias("carry"))
+    fresh = F.filter("all", lambda x: F.coalesce(x["s"] > F.col("carry"), F.lit(True)))
+    met = _same(buckets.drop("most"), carried, group).withColumn("new", fresh).withColumn("tail", F.array_max(F.filter("all", lambda x: x["s"] <= F.col("carry"))["e"]))
+    closed, following = F.slice("new", 1, F.greatest(F.size("new") - 1, F.lit(0))), F.slice("new", 2, F.greatest(F.size("new") - 1, F.lit(0)))
+    row = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("start_ms"), b.alias("end_ms"))
+    within = F.concat(F.transform(closed, lambda x: row("period", x["s"], x["e"])), F.zip_with(closed, following, lambda x, y: row("gap", x["e"], y["s"])))
+
+    edges = met.select(*group, "tail", F.try_element_at("new", F.lit(1))["s"].alias("next"), F.try_element_at("new", F.lit(-1)).alias("last"))
+    opened = edges.withColumn("open", F.last(F.col("last.s"), True).over(before))
+    pieces = F.array(
+        F.struct(F.col("open").alias("p"), F.col("tail").alias("e"), F.col("next").alias("n")),
+        F.struct(F.col("last.s").alias("p"), F.col("last.e").alias("e"), F.lit(None).cast("bigint").alias("n")),
     )
-    return periods.select(*keys, F.inline(both)).where("end_ms IS NOT NULL")
+    ends = opened.select(*keys, F.inline(pieces)).where("p IS NOT NULL").groupBy(*keys, "p").agg(F.max("e").alias("q"), F.max("n").alias("n"))
+    over = ends.select(*keys, F.inline(F.array(row("period", F.col("p"), F.col("q")), row("gap", F.col("q"), F.col("n"))))).where("end_ms IS NOT NULL")
+    return met.select(*keys, F.inline(within)).unionByName(over)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
