@@ -21,14 +21,19 @@ LANGUAGES = ("en", "ko", "es", "ja", "zh", "fr", "de", "it", "pt", "ru", "ar", "
 SAMPLE = 12_000
 #: N-grams of a profile; longest n-gram.
 PROFILE, LONGEST_GRAM = 4000, 4
-#: Out-of-place distance of an n-gram that a profile lacks: several times that of any that it has.
-MISSING = 4 * PROFILE
+#: Out-of-place distance of an n-gram that a profile lacks: the farthest there is.
+MISSING = PROFILE
+#: What is none of the languages, and the mean distance of a text's n-grams from which it is that: for a language with little text, the share of
+#: n-grams that it may be expected not to have shown yet, and ``BEYOND``, if that is more.
+OTHER, FAR, BEYOND = "und", 0.55, 0.35
 #: Share of an n-gram's frequency in the language that has it most, below which it is taken for a wrong label's.
 NOISE = 0.03
 #: Nats of one missing n-gram.
 SCALE = 2.0
-#: Nats against a language that isn't the recording's, isn't the label's, and against a change within a text.
-NOT_PRIOR, NOT_DECLARED, CHANGE = 5.0, 3.0, 5.0
+#: Nats against a language that isn't the recording's, isn't the label's, against a change within a text, and against no language.
+NOT_PRIOR, NOT_DECLARED, CHANGE, NOT_ANY = 5.0, 3.0, 5.0, 8.0
+#: Share of the sample on which the confidence is fitted, and the factors of the distances that are tried.
+HELD_OUT, HEATS = 4, (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 1.0, 1.5, 2.0)
 #: Words (characters in Chinese and Japanese) that a language needs to make a text mixed.
 MIXED_WORDS, MIXED_CHARACTERS = 3, 6
 #: Latin words in a row that part a text of another script.
@@ -80,7 +85,7 @@ _SCRIPTS = (
 # beside other scripts, Latin letters count in whole words of small letters only: names don't
 _FIND = {name: re.compile(f"[{span}]") for name, span, _ in _SCRIPTS} | {"small": re.compile(r"(?<![^\s\"'(,、，])[a-zß-ɏ]+(?![^\s\"'),.!?…、，。？])")}
 _OTHER = re.compile("[" + "".join(span for name, span, _ in _SCRIPTS if name != "latin") + "]")
-_CANDIDATES = {name: languages for name, _, languages in _SCRIPTS}
+_CANDIDATES: dict[str, tuple[str, ...]] = {name: languages for name, _, languages in _SCRIPTS} | {"other": ()}
 # dots of hesitation end no sentence
 _SENTENCE = re.compile(r"(?:(?<=[^.][.])(?=\s)|(?<=[!?।؟])(?=\s)|(?<=[。！？]))[\s\"'»”」)]*(?=\S)")
 _LATIN_RUN = re.compile(rf"((?:(?<![^\s\"'(])[A-Za-zÀ-ɏ'’,-]+[.!?,;]*(?:\s+|$)){{{LATIN_RUN},}})")
@@ -111,13 +116,16 @@ def sentences(text: str) -> list[str]:
 def script(sentence: str) -> tuple[str, int, float]:
     """The script of most letters, their number, and its share.
 
-    Kana make Han letters Japanese. Beside other scripts, Latin letters count a third, and those
+    Letters of scripts that none of the languages uses are "other". Kana make Han letters Japanese. Beside other scripts, Latin letters count a third, and those
     of names and of words joined to other letters don't count.
     """
     if sentence.isascii():
         n = sum(map(str.isalpha, sentence))
         return "latin", n, 1.0
     counts = {name: len(_FIND[name].findall(sentence)) for name, _, _ in _SCRIPTS}
+    strange = sum(map(str.isalpha, sentence)) - sum(counts.values())
+    if strange > sum(counts.values()):
+        return "other", strange, 1.0
     if counts["latin"] and sum(counts.values()) > counts["latin"]:
         counts["latin"] = sum(map(len, _FIND["small"].findall(sentence)))
     if counts["kana"] and counts["kana"] * 8 >= counts["han"]:
@@ -143,6 +151,7 @@ def grams(word: str) -> list[str]:
     return [*word, *(padded[i : i + n] for n in range(2, LONGEST_GRAM + 1) for i in range(len(padded) - n + 1))]
 
 
+_CODES = (*LANGUAGES, OTHER)
 _INDEX = {code: k for k, code in enumerate(LANGUAGES)}
 
 
@@ -161,36 +170,44 @@ class Profiles:
         for k, code in enumerate(LANGUAGES):
             for r, g in enumerate(ranked[code]):
                 self.rank[self.number[g], k] = r
-        self.words: dict[str, np.ndarray] = {}
+        self.far = np.array([max(FAR, BEYOND + unseen(counts[code])) for code in LANGUAGES])
+        self.heat = 1.0
+        self.words: dict[str, tuple[np.ndarray, int]] = {}
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "words": {}}
 
-    def known(self, word: str) -> np.ndarray:
-        """Numbers of the n-grams of a word that some profile has."""
+    def known(self, word: str) -> tuple[np.ndarray, int]:
+        """Numbers of the n-grams of a word that some profile has, and how many different others it has."""
         found = self.words.get(word)
         if found is None:
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
-            found = np.array([i for i in map(self.number.get, grams(word)) if i is not None], dtype=np.int64)
-            self.words[word] = found
+            every = [(g, self.number.get(g)) for g in grams(word)]
+            own = np.array([i for _, i in every if i is not None], dtype=np.int64)
+            found = self.words[word] = own, len({g for g, i in every if i is None})
         return found
 
     def distances(self, texts: list[list[str]], languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
-        """Out-of-place distance of each text, a list of words, to each of the languages.
+        """Out-of-place distance of each text, a list of words, to each of the languages."""
+        return self.measured(texts, languages)[0]
+
+    def measured(self, texts: list[list[str]], languages: tuple[str, ...] = LANGUAGES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distances, different n-grams that some profile has, and n-grams that none has, of each text.
 
         A text's n-grams are ranked by frequency, ties by overall frequency; each adds the
         difference of its ranks in units of ``MISSING``, 1 if the profile lacks it. N-grams that
-        no profile has would add 1 to all and are left out.
+        no profile has would add 1 to all and are counted apart.
         """
-        out = np.zeros((len(texts), len(languages)))
-        parts = [(i, self.known(w)) for i, words in enumerate(texts) for w in words]
+        out, kinds = np.zeros((len(texts), len(languages))), np.zeros(len(texts))
+        strange = np.array([sum(self.known(w)[1] for w in set(words)) for words in texts], dtype=np.float64)
+        parts = [(i, self.known(w)[0]) for i, words in enumerate(texts) for w in words]
         if not parts:
-            return out
+            return out, kinds, strange
         owner = np.repeat(np.array([i for i, _ in parts]), [len(a) for _, a in parts])
         each = np.concatenate([a for _, a in parts])
         if not len(each):
-            return out
+            return out, kinds, strange
         size = len(self.rank)
         keys, count = np.unique(owner * size + each, return_counts=True)
         owner, gram = keys // size, keys % size
@@ -198,27 +215,50 @@ class Profiles:
         order = np.argsort(owner * (int(count.max()) + 1) - count, kind="stable")
         owner, gram = owner[order], gram[order]
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        place = np.arange(len(owner)) - np.repeat(starts, np.diff(np.r_[starts, len(owner)]))
+        lengths = np.diff(np.r_[starts, len(owner)])
+        place = np.arange(len(owner)) - np.repeat(starts, lengths)
+        kinds[owner[starts]] = lengths
         for k, code in enumerate(languages):
             rank = self.rank[gram, _INDEX[code]]
             apart = np.where(rank == PROFILE, MISSING, np.abs(rank - place))
             out[owner[starts], k] = np.add.reduceat(apart, starts) / MISSING
-        return out
+        return out, kinds, strange
+
+
+def unseen(counts: Counter) -> float:
+    """Share of a language's n-grams that its text hasn't shown, by those that came once (Good and Turing)."""
+    total = sum(counts.values())
+    return sum(1 for n in counts.values() if n == 1) / total if total else 1.0
 
 
 def _costs(profiles: Profiles, found: list[tuple[str, int, float]], words: list[list[str]]) -> np.ndarray:
-    """Nats against each language for each sentence; infinite for those of another script."""
-    costs = np.full((len(found), len(LANGUAGES)), np.inf)
+    """Nats against each language, and against none of them, for each sentence; infinite for those of another script.
+
+    No language is as far from everything as ``Profiles.far`` says for the languages of the script.
+    """
+    costs = np.full((len(found), len(_CODES)), np.inf)
     rows: dict[str, list[int]] = defaultdict(list)
     for i, (name, _, _) in enumerate(found):
         rows[name].append(i)
     for name, own in rows.items():
         languages = _CANDIDATES[name]
-        near = SCALE * profiles.distances([words[i] for i in own], languages) if len(languages) > 1 else 0.0
-        costs[np.ix_(own, [_INDEX[c] for c in languages])] = near
+        if not languages:
+            costs[own, -1] = 0.0
+            continue
+        at = [_INDEX[c] for c in languages]
+        apart, kinds, strange = profiles.measured([words[i] for i in own], languages)
+        costs[np.ix_(own, at)] = SCALE * (apart + strange[:, None])
+        costs[own, -1] = SCALE * profiles.far[at].max() * (kinds + strange)
     return costs
 
 
+def _confidence(costs: np.ndarray, chosen: int, heat: float) -> float:
+    """Share of the chosen language's likelihood, by distances alone; half where its script shows it to be an exception."""
+    if not np.isfinite(costs[chosen]):
+        return 0.5
+    return float(1 / np.exp(np.clip(heat * (costs[chosen] - costs), None, 50)).sum())
+
+
 def _path(costs: np.ndarray, bias: np.ndarray) -> list[int]:
     """The cheapest language of each sentence: costs, bias once a run, and ``CHANGE`` a change."""
     total, back = costs[0] + bias, []
@@ -240,8 +280,8 @@ def parts_of(texts: list[str], priors: list[str | None], labels: list[str | None
 
     Sentences without letters of a known script belong to their neighbours. The language of
     each is the cheapest path through the sentences; confidence is the share of the chosen
-    language's likelihood among the candidates, bias included, times the share of its script. A
-    language with too few words to make the text mixed gives way to that of its neighbours.
+    language's likelihood by the distances alone, whatever the recording and the label say, fitted on held-out
+    segments. A language with too few words to make the text mixed gives way to that of its neighbours.
     """
     cut: list[list[str]] = []
     found: list[tuple[str, int, float]] = []
@@ -274,7 +314,8 @@ def parts_of(texts: list[str], priors: list[str | None], labels: list[str | None
         if a == b:
             out.append([])
             continue
-        bias = np.zeros(len(LANGUAGES))
+        bias = np.zeros(len(_CODES))
+        bias[-1] = NOT_ANY
         for code, nats in ((prior, NOT_PRIOR), (label, NOT_DECLARED)):
             if code in _INDEX:
                 bias += nats
@@ -288,11 +329,8 @@ def parts_of(texts: list[str], priors: list[str | None], labels: list[str | None
             j = i
             while j < len(path) and path[j] == path[i]:
                 j += 1
-            run = costs[a + i : a + j].sum(axis=0) + bias
-            # a sentence that went with its neighbours may be in a script that the language hasn't
-            likely = 1 / np.exp(np.clip(run[path[i]] - run, None, 50)).sum() if np.isfinite(run[path[i]]) else 0.5
-            sure = float(likely * np.mean([f[2] for f in found[a + i : a + j]]))
-            parts.append((LANGUAGES[path[i]], sure, " ".join(kept[i:j]).strip()))
+            sure = _confidence(costs[a + i : a + j].sum(axis=0), path[i], profiles.heat)
+            parts.append((_CODES[path[i]], sure, " ".join(kept[i:j]).strip()))
             i = j
         out.append(parts)
     return out
@@ -302,7 +340,7 @@ def _settled(path: list[int], found: list[tuple[str, int, float]], words: list[l
     """The path without languages of too few words; those sentences go with the language of most words."""
     size: dict[int, float] = defaultdict(float)
     for k, about, own in zip(path, found, words):
-        unspaced = LANGUAGES[k] in ("ja", "zh")
+        unspaced = _CODES[k] in ("ja", "zh")
         size[k] += about[1] / MIXED_CHARACTERS if unspaced else len(own) / MIXED_WORDS
     most = max(size, key=lambda k: size[k])
     return [k if size[k] >= 1 or k == most else most for k in path]
@@ -329,14 +367,27 @@ def build_profiles(rows: list[tuple[str, str]]) -> Profiles:
     return Profiles({code: Counter({g: n for g, n in c.items() if n / total[code] >= NOISE * most[g]}) for code, c in counts.items()})
 
 
-def readable(df: DataFrame) -> DataFrame:
-    """Rows (seg_id, rec_id, label, body): each text without marks and label, and its declared code.
+def calibrated(profiles: Profiles, rows: list[tuple[str, str]]) -> Profiles:
+    """The profiles with the factor of the distances that makes the labels of (text, label) pairs likeliest."""
+    runs = []
+    for text, label in rows:
+        told = [(about, own) for about, own in ((x, spoken_tokens(s, x[0] == "latin")) for s, x in ((s, script(s)) for s in sentences(text)) if x[1]) if own]
+        if told and all(label in _CANDIDATES[about[0]] for about, _ in told):
+            runs.append((_costs(profiles, [a for a, _ in told], [o for _, o in told]).sum(axis=0), _INDEX[label]))
+    if runs:
+        loss = {heat: np.mean([-np.log(max(1e-9, _confidence(costs, k, heat))) for costs, k in runs]) for heat in HEATS}
+        profiles.heat = min(HEATS, key=lambda heat: loss[heat])
+    return profiles
+
+
+def readable(df: DataFrame, *more: str) -> DataFrame:
+    """Rows (seg_id, rec_id, label, more, body): each text without marks and label, and its declared code.
 
     What looks like a name label at the beginning is left out, whether or not the recording has
     the name: it tells nothing about the language.
     """
-    read = with_speech(df.where("text IS NOT NULL").select("seg_id", "rec_id", declared(F.col("language")).alias("label"), "text"))
-    return read.select("seg_id", "rec_id", "label", unmarked(F.col("body_named")).alias("body"))
+    read = with_speech(df.where("text IS NOT NULL").select("seg_id", "rec_id", declared(F.col("language")).alias("label"), "text", *more))
+    return read.select("seg_id", "rec_id", "label", *more, unmarked(F.col("body_named")).alias("body"))
 
 
 def priors(df: DataFrame) -> DataFrame:
@@ -353,7 +404,7 @@ def _with_prior(rows: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def trained(df: DataFrame, prior: DataFrame, sample: int = SAMPLE) -> Profiles:
-    """Profiles from at most ``sample`` segments labelled like their recording, the same on every run.
+    """Profiles from at most ``sample`` segments labelled like their recording, the same on every run; one in ``HELD_OUT`` fits the confidence.
 
     They are those of the least hashes of seg_id. A share of the rows that holds them almost
     surely is cut out by hash before the sort, so that the sort doesn't grow with the table.
@@ -369,16 +420,18 @@ def trained(df: DataFrame, prior: DataFrame, sample: int = SAMPLE) -> Profiles:
     rows = least(hashed.where(F.col("h") <= hash_edge(share)))
     if len(rows) < sample and share < 1:
         rows = least(hashed)
-    return build_profiles([(r["body"], r["label"]) for r in rows])
+    pairs = [(r["body"], r["label"]) for r in rows]
+    held = pairs[::HELD_OUT]
+    return calibrated(build_profiles([p for i, p in enumerate(pairs) if i % HELD_OUT]), held)
 
 
-def identify(df: DataFrame, sample: int = SAMPLE, texts: bool = True) -> DataFrame:
-    """Rows (seg_id, label, part, lang, confidence, text): each part of each segment with spoken words.
+def identify(df: DataFrame, sample: int = SAMPLE, texts: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (seg_id, label, part, lang, confidence, text, keep): each part of each segment with spoken words.
 
     ``df`` has seg_id, rec_id, language, text. Parts are runs of sentences in one language;
-    ``label`` is the code of ``language``, null if that is missing or unusable. Null, empty and
+    ``lang`` is ``OTHER`` for what is none of the languages; ``label`` is the code of ``language``, null if that is missing or unusable. Null, empty and
     wordless texts have no row; a null rec_id has no prior language; redelivered rows come as
-    often as they are; further columns are ignored; an empty table gives an empty table. ``text``
+    often as they are; further columns are ignored but those of ``keep``; an empty table gives an empty table. ``text``
     is null unless ``texts``.
 
     The prior of a recording is its most frequent label, joined with salted rows. The profiles, of
@@ -386,8 +439,9 @@ def identify(df: DataFrame, sample: int = SAMPLE, texts: bool = True) -> DataFra
     """
     prior = priors(df)
     shipped = df.sparkSession.sparkContext.broadcast(trained(df, prior, sample))
-    joined = _with_prior(readable(df), prior).select("seg_id", "label", "prior", "body")
+    joined = _with_prior(readable(df, *keep), prior).select("seg_id", "label", "prior", "body", *keep)
     kind = df.schema["seg_id"].dataType.simpleString()
+    kept = "".join(f", `{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -397,15 +451,26 @@ def identify(df: DataFrame, sample: int = SAMPLE, texts: bool = True) -> DataFra
                 of = pa.array([i for i, parts in enumerate(found) for _ in parts], type=pa.int32())
                 flat = [(k, *p) for parts in found for k, p in enumerate(parts)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(of), b.column(1).take(of), pa.array([f[0] for f in flat], type=pa.int32()), pa.array([f[1] for f in flat], type=pa.string()), pa.array([f[2] for f in flat], type=pa.float64()), pa.array([f[3] if texts else None for f in flat], type=pa.string())],
-                    names=["seg_id", "label", "part", "lang", "confidence", "text"],
+                    [b.column(0).take(of), b.column(1).take(of), pa.array([f[0] for f in flat], type=pa.int32()), pa.array([f[1] for f in flat], type=pa.string()), pa.array([f[2] for f in flat], type=pa.float64()), pa.array([f[3] if texts else None for f in flat], type=pa.string()), *[b.column(4 + i).take(of) for i in range(len(keep))]],
+                    names=["seg_id", "label", "part", "lang", "confidence", "text", *keep],
                 )
 
-    return joined.mapInArrow(run, f"seg_id {kind}, label string, part int, lang string, confidence double, text string")
+    return joined.mapInArrow(run, f"seg_id {kind}, label string, part int, lang string, confidence double, text string{kept}")
+
 
+def first_delivered(parts: DataFrame, at: str = "ingested_at") -> DataFrame:
+    """``parts``, each of a segment once: those of its first delivery, of equal times the least label; rows without a time come last."""
+    row = F.struct(*[F.col(f"`{c}`") for c in parts.columns])
+    place = F.struct(F.col(at).isNull(), at, F.coalesce("label", F.lit("")), F.coalesce("text", F.lit("")))
+    return parts.groupBy("seg_id", "part").agg(F.min_by(row, place).alias("r")).select("r.*")
 
-def mislabelled(parts: DataFrame) -> DataFrame:
-    """Rows (seg_id, lang) of segments whose label is missing or wrong, or that are mixed."""
-    per = parts.groupBy("seg_id").agg(F.collect_set("lang").alias("langs"), F.first("label").alias("label"))
+
+def mislabelled(parts: DataFrame, at: str | None = None) -> DataFrame:
+    """Rows (seg_id, lang) of segments whose label is missing or wrong, or that are mixed, by their first delivery, given its time ``at``.
+
+    What is none of the languages has no row.
+    """
+    first = F.min_by(F.struct("label"), F.struct(F.col(at).isNull(), at, F.coalesce("label", F.lit(""))))["label"] if at else F.min("label")
+    per = parts.groupBy("seg_id").agg(F.collect_set("lang").alias("langs"), first.alias("label"))
     wrong = F.col("label").isNull() | (F.size("langs") > 1) | (F.col("langs")[0] != F.col("label"))
-    return per.where(wrong).select("seg_id", F.explode("langs").alias("lang"))
+    return per.where(wrong).select("seg_id", F.explode("langs").alias("lang")).where(F.col("lang") != OTHER)

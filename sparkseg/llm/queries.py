@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkseg.llm.consensus import chance_corrected, consensus, judged, latest_votes, of_people, reliability
-from sparkseg.llm.language import identify, mislabelled
+from sparkseg.llm.language import first_delivered, identify, mislabelled
 from sparkseg.llm.packing import fill, pack
 from sparkseg.llm.spam import spam_pages
 from sparkseg.llm.splitting import split_segments
@@ -45,12 +45,12 @@ def p3_turns(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Languages of segments whose label is missing or wrong, or that are mixed."""
-    return mislabelled(identify(_segments(spark, folder), texts=False))
+    return mislabelled(identify(_segments(spark, folder), texts=False, keep=("ingested_at",)), "ingested_at")
 
 
 def p4_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Language and confidence of each part of each segment."""
-    return identify(_segments(spark, folder)).dropDuplicates(["seg_id", "part"])
+    """Language and confidence of each part of each segment, as first delivered."""
+    return first_delivered(identify(_segments(spark, folder), keep=("ingested_at",))).drop("ingested_at")
 
 
 def _votes(spark: SparkSession, folder: str, every: bool = False) -> DataFrame:

@@ -98,3 +98,55 @@ def test_operator(spark):
     assert {(r.seg_id, r.lang) for r in lg.mislabelled(parts).collect()} == want
     assert all(0 < r.confidence <= 1 and r.text for r in parts.collect())
     assert lg.identify(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("text", ["wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα."])
+def test_none_of_the_languages(profiles, text):
+    assert langs(text, profiles) == [lg.OTHER]
+
+
+def test_a_language_of_little_text_is_not_taken_for_none(profiles):
+    assert profiles.far[lg.LANGUAGES.index("ru")] > profiles.far[lg.LANGUAGES.index("en")] == lg.FAR
+    assert langs("Каждый человек имеет право на жизнь, на свободу и на личную неприкосновенность.", profiles) == ["ru"]
+
+
+def test_confidence_is_how_often_it_is_right(profiles):
+    """Fragments of one or two words, of which many could be of several languages."""
+    rng = random.Random(11)
+
+    def fragments(n):
+        out = []
+        for _ in range(n):
+            code = rng.choice(list(PARTS))
+            words = rng.choice(rng.choice(PARTS[code])).split()
+            i = rng.randrange(len(words))
+            out.append((" ".join(words[i : i + rng.randrange(1, 3)])[: rng.randrange(2, 9)], code))
+        return out
+
+    lg.calibrated(profiles, fragments(600))
+    try:
+        held = fragments(2000)
+        parts = lg.parts_of([t for t, _ in held], [None] * len(held), [None] * len(held), profiles)
+        told = [(p[0][1], p[0][0] == code) for p, (_, code) in zip(parts, held) if len(p) == 1]
+        assert len(told) > 1500
+        for low, high in ((0.3, 0.6), (0.6, 0.85), (0.85, 1.01)):
+            group = [x for x in told if low <= x[0] < high]
+            assert len(group) > 50 and abs(np.mean([c for c, _ in group]) - np.mean([ok for _, ok in group])) < 0.12
+        # neither the recording nor the label makes it surer
+        text = "el tren"
+        assert lg.parts_of([text], ["es"], ["es"], profiles)[0][0][1] == lg.parts_of([text], [None], [None], profiles)[0][0][1]
+    finally:
+        profiles.heat = 1.0
+
+
+def test_the_first_delivery_counts(spark):
+    rng = random.Random(7)
+    text = sentence(rng, "fr")
+    rows = [(1, "a", "de", text, "2025-01-02"), (1, "a", "fr", text, "2025-01-01"), (2, "a", "fr", text, "2025-01-02"), (2, "a", "de", text, "2025-01-01"), (3, "a", None, text, None), (3, "a", "fr", text, "2025-01-09")]
+    rows += [(100 + i, "a", "fr", sentence(rng, "fr"), "2025-01-01") for i in range(60)]
+    df = spark.createDataFrame(rows, "seg_id bigint, rec_id string, language string, text string, ingested_at string")
+    for some in (df, df.repartition(7)):
+        parts = lg.identify(some, keep=("ingested_at",))
+        assert {tuple(r) for r in lg.mislabelled(parts, "ingested_at").collect()} == {(2, "fr")}
+        once = {r.seg_id: r.label for r in lg.first_delivered(parts).collect() if r.seg_id < 100}
+        assert once == {1: "fr", 2: "de", 3: "fr"}
