@@ -138,25 +138,24 @@ def reliability(votes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     so the lineage doesn't grow. Rounds end when no weight moves by ``STABLE``; if one still does
     after ``rounds``, a warning says so.
     """
-    weights = checkpointed(votes.groupBy("judge").agg(F.count("*").alias("votes"), F.lit(0.5).alias("accuracy"), F.lit(1.0).alias("w")))
+    weights = checkpointed(votes.groupBy("judge").agg(F.count("*").alias("votes"), F.lit(0.5).alias("accuracy"), F.lit(1.0).alias("w"), F.lit(0.0).alias("moved")))
     moved = 0.0
     for _ in range(rounds):
         weighed = _weighed(votes, weights.select("judge", "w"))
         others = _chosen({x: F.col(f"t_{x}") - F.when(F.col("label") == x, F.col("w")).otherwise(0.0) for x in LABELS})
-        met = weighed.select("judge", (others == F.col("label")).cast("double").alias("met"))
-        counts = met.groupBy("judge").agg(F.count("*").alias("votes"), F.count("met").alias("n"), F.coalesce(F.sum("met"), F.lit(0.0)).alias("hits"))
+        met = weighed.select("judge", (others == F.col("label")).cast("double").alias("met"), "w")
+        counts = met.groupBy("judge").agg(F.count("*").alias("votes"), F.count("met").alias("n"), F.coalesce(F.sum("met"), F.lit(0.0)).alias("hits"), F.max("w").alias("old"))
         total = counts.agg(((F.sum("hits") + 1) / (F.sum("n") + 2)).alias("mean"))
         accuracy = F.least(F.greatest((F.col("hits") + SMOOTHING * F.col("mean")) / (F.col("n") + SMOOTHING), F.lit(0.01)), F.lit(0.99))
-        rated = counts.crossJoin(F.broadcast(total)).withColumn("accuracy", accuracy)  # one row beside each
         odds = F.log((len(LABELS) - 1) * F.col("accuracy") / (1 - F.col("accuracy")))
-        new = checkpointed(rated.select("judge", "votes", "accuracy", F.greatest(odds, F.lit(0.05)).alias("w")))
-        moved = new.join(weights.select("judge", F.col("w").alias("old")), "judge").agg(F.max(F.abs(F.col("w") - F.col("old"))).alias("d")).first()["d"]
-        weights = new
+        rated = counts.crossJoin(F.broadcast(total)).withColumn("accuracy", accuracy).withColumn("w", F.greatest(odds, F.lit(0.05)))
+        weights = checkpointed(rated.select("judge", "votes", "accuracy", "w", F.abs(F.col("w") - F.col("old")).alias("moved")))  # one row beside each
+        moved = weights.agg(F.max("moved").alias("d")).first()["d"]
         if moved is None or moved < STABLE:
             break
     else:
         warnings.warn(f"weights not stable after {rounds} rounds: the last moved one by {moved:.4f}", stacklevel=2)
-    return weights
+    return weights.drop("moved")
 
 
 def consensus(votes: DataFrame, weights: DataFrame) -> DataFrame:

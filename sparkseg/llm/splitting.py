@@ -135,18 +135,20 @@ def split_segments(df: DataFrame, limit_ms: int = LIMIT_MS, overlap_ms: int = 0,
     """Rows (seg_id, piece, start_ms, end_ms, cut) of each segment longer than ``limit_ms``.
 
     ``df`` has seg_id, start, end (seconds) and words. Segments without valid times or not
-    longer than the limit are left out; redelivered rows count once; a null seg_id is a
-    segment of its own for each distinct row of times. Null, empty and partly null ``words``
+    longer than the limit are left out; redelivered rows count once, as first delivered where there is an
+    ``ingested_at``; a null seg_id is a segment of its own for each distinct row of times. Null, empty and partly null ``words``
     give no pause where they have no times; then the cut is ``forced``. Further columns are
     ignored. An empty table gives an empty table.
 
     Filters and the narrow columns reach the scan; only long segments meet Python.
     """
+    at = F.col("ingested_at") if "ingested_at" in df.columns else F.lit(None).cast("timestamp")
+    stamps = F.expr("transform(words, w -> struct(w.start AS s, w.end AS e))")
     long = (
-        df.select("seg_id", millis("`start`").alias("a"), millis("`end`").alias("b"), "words")
+        df.select("seg_id", millis("`start`").alias("a"), millis("`end`").alias("b"), stamps.alias("w"), at.alias("at"))
         .where(F.col("b") - F.col("a") > limit_ms)
-        .dropDuplicates(["seg_id", "a", "b"])
-        .select("seg_id", "a", "b", F.expr("transform(words, w -> struct(w.start AS s, w.end AS e))").alias("w"))
+        .groupBy("seg_id", "a", "b")
+        .agg(F.min_by("w", F.struct(F.col("at").isNull(), "at", "w")).alias("w"))
     )
 
     @F.pandas_udf(PIECE)

@@ -69,3 +69,13 @@ def test_table(spark):
     assert {r.seg_id: r.cut for r in got.collect()} == {1: "natural", 2: "natural", 3: "forced", 4: "forced", None: "forced", 8: "forced", 9: "forced"}
     assert got.count() == 7
     assert split_segments(df.where("false")).count() == 0
+
+
+def test_words_of_the_first_delivery(spark):
+    words = lambda at: [("a", 0.0, at), ("b", at + 1, 40.0)]
+    late, early = words(25.0), words(20.0)
+    schema = "seg_id bigint, start double, end double, words array<struct<word:string,start:double,end:double>>, ingested_at string"
+    rows = [(1, 0.0, 40.0, late, "2025-01-02"), (1, 0.0, 40.0, early, "2025-01-01"), (1, 0.0, 40.0, late, None)]
+    for some in (rows, rows[::-1]):
+        got = split_segments(spark.createDataFrame(some, schema).repartition(3)).orderBy("piece").collect()
+        assert len(got) == 2 and 20_000 <= got[0].end_ms <= 21_000
