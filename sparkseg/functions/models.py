@@ -54,6 +54,11 @@ class Captioner(Protocol):
     def __call__(self, wave: np.ndarray, rate: int, context: list[str]) -> str: ...
 
 
+class Aligner(Protocol):
+    def __call__(self, wave: np.ndarray, rate: int, text: str, language: str | None) -> list[tuple[str, float, float]]:
+        """Words with their start and end in seconds of the sound."""
+
+
 class Denoiser(Protocol):
     def __call__(self, wave: np.ndarray, rate: int, text: str) -> np.ndarray: ...
 
@@ -118,6 +123,37 @@ def same_sound(wave: np.ndarray, rate: int) -> np.ndarray:
     return wave
 
 
+def same_text_sound(wave: np.ndarray, rate: int, text: str) -> np.ndarray:
+    return wave
+
+
+def even_words(wave: np.ndarray, rate: int, text: str, language: str | None) -> list[tuple[str, float, float]]:
+    """Stand-in aligner: the words share the sound by their lengths."""
+    words = text.split()
+    edges = np.cumsum([0, *map(len, words)]) / max(1, sum(map(len, words))) * len(wave) / rate
+    return [(w, float(a), float(b)) for w, a, b in zip(words, edges, edges[1:])]
+
+
+def spelled(phrase: str) -> str:
+    """Stand-in pronunciation: small letters between marks."""
+    return f"<{phrase.lower()}>"
+
+
+class Lazily:
+    """A model that is made by its maker in the process that first calls it, and is never sent."""
+
+    def __init__(self, make: Callable[[], Callable]):
+        self.make, self.model = make, None
+
+    def __getstate__(self) -> dict:
+        return {"make": self.make, "model": None}
+
+    def __call__(self, *given):
+        if self.model is None:
+            self.model = self.make()
+        return self.model(*given)
+
+
 def no_caption(wave: np.ndarray, rate: int, context: list[str]) -> str:
     return ""
 
@@ -134,9 +170,12 @@ class Models:
     tagger: Callable[[], Tagger] = lambda: no_music
     vocals: Callable[[], Vocals] = lambda: same_sound
     captioner: Callable[[], Captioner] = lambda: no_caption
+    denoiser: Callable[[], Denoiser] = lambda: same_text_sound
+    aligner: Callable[[], Aligner] = lambda: even_words
+    pronounce: Callable[[str], str] = spelled
 
 
-def per_sound(df: DataFrame, make: Callable[[], Callable], use: Callable[[Callable, pd.Series], object], out: str, kind: str) -> DataFrame:
+def per_sound(df: DataFrame, make: Callable[[], Callable], use: Callable[[Callable, dict], object], out: str, kind: str) -> DataFrame:
     """``df`` with ``out``, what ``use(model, row)`` gives for each row, and ``error``.
 
     The model is made once per task. A row that fails gets a null and its error, and the
@@ -148,9 +187,10 @@ def per_sound(df: DataFrame, make: Callable[[], Callable], use: Callable[[Callab
         model = make()
         for b in batches:
             values, errors = [], []
-            for _, row in b.iterrows():
+            names = list(b.columns)
+            for given in zip(*[b[c] for c in names]):
                 try:
-                    values.append(use(model, row))
+                    values.append(use(model, dict(zip(names, given))))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001 - one bad sound must not end the job
                     values.append(None)

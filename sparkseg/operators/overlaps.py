@@ -38,9 +38,3 @@ def reference_segments(df: DataFrame, least_overlap_ms: int = 1000, least_ms: in
     free = df.where((F.col("e") - F.col("s") >= least_ms) & F.col("speaker").isNotNull()).join(touched, "seg_id", "left_anti")
     return free.groupBy("rec_id", "speaker").agg(F.min_by("seg_id", F.struct("s", "e", "seg_id")).alias("seg_id"))
 
-
-def overlapped_time(df: DataFrame, least_ms: int = 1) -> DataFrame:
-    """``df`` with ``overlaps``: how many pairs a segment is part of."""
-    pairs = overlap_pairs(df, least_ms)
-    counts = pairs.select(F.explode(F.array("seg1", "seg2")).alias("__seg")).groupBy("__seg").agg(F.count("*").alias("__n"))
-    return df.join(counts, F.col("seg_id") == F.col("__seg"), "left").withColumn("overlaps", F.coalesce("__n", F.lit(0))).drop("__seg", "__n")

@@ -65,6 +65,6 @@ def valid_audio(df: DataFrame, duration: Column | str, text: str = "text", score
 
 def mean_scores(windows: DataFrame, key: list[str], personal: bool = False) -> DataFrame:
     """Mean raw and corrected scores of the analysis windows of a sound, from columns sig, bak and ovr."""
-    kinds = ("ovr", "sig", "bak")
-    raw = [F.avg(k).alias(f"{k.upper()}_raw") for k in kinds]
-    return windows.groupBy(*key).agg(F.count("*").alias("num_hops"), *raw, *[F.avg(mos_corrected(k, k, personal)).alias(k.upper()) for k in kinds])
+    names = {"ovr": "OVRL", "sig": "SIG", "bak": "BAK"}
+    raw = [F.avg(k).alias(f"{name}_raw") for k, name in names.items()]
+    return windows.groupBy(*key).agg(F.count("*").alias("num_hops"), *raw, *[F.avg(mos_corrected(k, k, personal)).alias(name) for k, name in names.items()])

@@ -151,6 +151,28 @@ def without_music(wave: np.ndarray, rate: int, spans: list[tuple[float, float]],
     return out, flags
 
 
+def music_removed(recordings: DataFrame, music: Callable[[np.ndarray, int], float], vocals: Callable[[np.ndarray, int], np.ndarray | None], pad: float = 0.5, above: float = 0.3, least: int = 16_000) -> DataFrame:
+    """Rows (rec_id, rate, wave, flags ARRAY<STRUCT<seg_id, music>>) of recordings (rec_id, rate, wave, spans) as in ``repair_overlaps``.
+
+    A row is a recording, as its voices are taken from the whole; ``without_music`` says how. A recording without sound
+    or spans stays as it is, without flags.
+    """
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for rec, rate, wave, spans in zip(b.rec_id, b.rate, b.wave, b.spans):
+                found = [x for x in spans if x is not None] if spans is not None else []
+                flags = []
+                if wave is not None and found:
+                    out, has = without_music(np.asarray(wave, dtype=np.float64), int(rate), [(x["s"] / 1000, x["e"] / 1000) for x in found], music, vocals, pad, above, least)
+                    wave, flags = out.astype(np.float32).tolist(), [{"seg_id": x["seg_id"], "music": m} for x, m in zip(found, has)]
+                rows.append((rec, rate, wave, flags))
+            yield pd.DataFrame(rows, columns=["rec_id", "rate", "wave", "flags"])
+
+    return recordings.select("rec_id", "rate", "wave", "spans").mapInPandas(run, "rec_id string, rate bigint, wave array<float>, flags array<struct<seg_id:bigint,music:boolean>>")
+
+
 def overlap_add(wave: np.ndarray, predict: Callable[[np.ndarray], np.ndarray], rate: int, seconds: float = 15.0, margin: float = 1.0, denoise: bool = False) -> np.ndarray:
     """A model run over pieces of ``seconds`` with ``margin`` on both sides, whose margins are cut off.
 

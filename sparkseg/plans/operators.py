@@ -309,7 +309,7 @@ def mos_scores(spark, folder):
     q = F.col("l_quantity") / 10
     rows = table(spark, folder, "lineitem").select("l_orderkey", q.alias("sig"), (q * 0.9).alias("bak"), (q * 0.8).alias("ovr"))
     made = quality.mean_scores(rows, ["l_orderkey"])
-    return made.select("l_orderkey", "num_hops", *[F.round(c, 6).alias(c.lower()) for c in ("OVRL_raw".replace("OVRL", "OVR"), "SIG_raw", "BAK_raw", "OVR", "SIG", "BAK")])
+    return made.select("l_orderkey", "num_hops", *[F.round(c, 6).alias(name) for c, name in (("OVRL_raw", "ovr_raw"), ("SIG_raw", "sig_raw"), ("BAK_raw", "bak_raw"), ("OVRL", "ovr"), ("SIG", "sig"), ("BAK", "bak"))])
 
 
 def hop_windows(spark, folder):

@@ -6,7 +6,9 @@ import ast
 import io
 import json
 import os
+import re
 import wave as wavfile
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -92,24 +94,45 @@ def decoded_paths(names: DataFrame, decoded: DataFrame) -> DataFrame:
     return joined.where("cached IS NULL OR __d IS NOT NULL").withColumn("read", F.coalesce("__d", "path")).drop("__c", "__d")
 
 
-def read_waves(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """Rows (path, rec_id, rate, wave, error) of the WAV files of a folder, channels averaged.
+def decode_wave(content: bytes) -> tuple[int, np.ndarray]:
+    """Rate and samples, frames by channels, of a WAV file of 8, 16, 24 or 32 bits."""
+    with wavfile.open(io.BytesIO(content)) as w:
+        width, raw = w.getsampwidth(), np.frombuffer(w.readframes(w.getnframes()), dtype=np.uint8)
+        if width == 1:
+            pcm = (raw.astype(np.float32) - 128) / 128
+        else:
+            # the sample's bytes above zeros make a whole number of 32 bits
+            wide = np.zeros((len(raw) // width, 4), dtype=np.uint8)
+            wide[:, 4 - width :] = raw.reshape(-1, width)
+            pcm = (wide.view("<i4").ravel() / 2.0**31).astype(np.float32)
+        return w.getframerate(), pcm.reshape(-1, w.getnchannels())
 
-    16-bit PCM; a file that can't be read has an error and no wave.
+
+#: What decodes the files of a suffix.
+DECODERS: dict[str, Callable[[bytes], tuple[int, np.ndarray]]] = {".wav": decode_wave}
+
+
+def read_waves(spark: SparkSession, folder: str, recursive: bool = False, decoders: dict[str, Callable[[bytes], tuple[int, np.ndarray]]] | None = None) -> DataFrame:
+    """Rows (path, rec_id, rate, wave, error) of the sound files of a folder, channels averaged.
+
+    ``decoders`` gives, by suffix, what makes rate and samples of a file's bytes; without them WAV files are
+    read. The id is the path below the folder without its suffix, so equal names in different folders stay apart.
+    A file that can't be read has an error and no wave.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.wav").load(folder)
+    by = decoders or DECODERS
+    pattern = "*{" + ",".join(sorted({x for s in by for x in (s, s.upper())})) + "}"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", pattern).load(folder)
+    root = re.sub(r"^[a-z0-9]+:/*(?=/)", "", folder).rstrip("/") + "/"
 
     def run(batches):
         for b in batches:
             rows = []
             for path, content in zip(b.path, b.content):
-                rec = os.path.splitext(os.path.basename(path))[0]
+                rec, suffix = os.path.splitext(path.split(root, 1)[1] if root in path else os.path.basename(path))
                 try:
-                    with wavfile.open(io.BytesIO(content)) as w:
-                        if w.getsampwidth() != 2:
-                            raise ValueError("not 16-bit")
-                        pcm = np.frombuffer(w.readframes(w.getnframes()), dtype="<i2").astype(np.float32) / 32768
-                        rows.append((path, rec, w.getframerate(), pcm.reshape(-1, w.getnchannels()).mean(axis=1).tolist(), None))
+                    rate, samples = by[suffix.lower()](content)
+                    mono = np.asarray(samples, dtype=np.float32)
+                    rows.append((path, rec, int(rate), (mono.mean(axis=1) if mono.ndim > 1 else mono).tolist(), None))
                 except Exception as e:  # noqa: BLE001 - a bad file must not end the job
                     rows.append((path, rec, None, None, f"{type(e).__name__}: {e}"[:500]))
             yield pd.DataFrame(rows, columns=["path", "rec_id", "rate", "wave", "error"]).astype({"rate": "Int64"})

@@ -23,28 +23,38 @@ def stage_metadata(seconds: Column, duration: Column, enabled: bool | None = Non
     return F.struct(*fields, *([F.lit(enabled).alias("enabled")] if enabled is not None else []))
 
 
-def recording_metadata(segments: DataFrame) -> DataFrame:
-    """Rows (rec_id, total_segments, audio_duration_seconds, audio_duration_minutes) by the last end."""
-    seconds = F.max("e") / 1000.0
-    return segments.groupBy("rec_id").agg(F.count("*").alias("total_segments"), seconds.alias("audio_duration_seconds"), (seconds / 60).alias("audio_duration_minutes"))
+def recording_metadata(segments: DataFrame, durations: DataFrame | None = None) -> DataFrame:
+    """Rows (rec_id, total_segments, audio_duration_seconds, audio_duration_minutes).
+
+    The duration is that of ``durations`` (rec_id, duration_ms) where it has the recording, else the last end.
+    """
+    about = segments.groupBy("rec_id").agg(F.count("*").alias("total_segments"), F.max("e").alias("__ms"))
+    if durations is not None:
+        known = durations.groupBy(F.col("rec_id").alias("__rec")).agg(F.max("duration_ms").alias("__given"))
+        about = about.join(known, F.col("rec_id").eqNullSafe(F.col("__rec")), "left").withColumn("__ms", F.coalesce("__given", "__ms"))
+    seconds = F.col("__ms") / 1000.0
+    return about.select("rec_id", "total_segments", seconds.alias("audio_duration_seconds"), (seconds / 60).alias("audio_duration_minutes"))
 
 
-def result_documents(segments: DataFrame, columns: list[str], size: int = PART) -> DataFrame:
+def result_documents(segments: DataFrame, columns: list[str], size: int = PART, durations: DataFrame | None = None, stages: dict[str, float] | None = None) -> DataFrame:
     """Rows (rec_id, part, metadata, segments): each recording's segments in order, at most ``size`` a row.
 
     A recording of any length is a bounded row per part; readers that want one document join the
-    parts in order. ``metadata`` is that of the whole recording in each.
+    parts in order. ``metadata`` is that of the whole recording in each. ``stages`` gives the real-time factor of each
+    stage over all sound of a run: recordings run together, so each has the seconds of its share of the sound.
     """
     rows = ordered(segments, ["rec_id"], time_bucket("s"), ORDER, number="__i")
     parts = rows.withColumn("part", F.floor(F.col("__i") / size)).groupBy("rec_id", "part").agg(F.sort_array(F.collect_list(F.struct("__i", F.struct(*columns).alias("row")))).alias("__all"))
-    about = recording_metadata(segments).select(F.col("rec_id").alias("__rec"), F.struct("audio_duration_seconds", "audio_duration_minutes", "total_segments").alias("metadata"))
+    seconds = F.col("audio_duration_seconds")
+    blocks = [stage_metadata(seconds * factor, seconds, True).alias(name) for name, factor in (stages or {}).items()]
+    about = recording_metadata(segments, durations).select(F.col("rec_id").alias("__rec"), F.struct("audio_duration_seconds", "audio_duration_minutes", *blocks, "total_segments").alias("metadata"))
     joined = parts.join(about, F.col("rec_id").eqNullSafe(F.col("__rec")))
     return joined.select("rec_id", "part", "metadata", F.transform("__all", lambda x: x["row"]).alias("segments"))
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """Documents as JSON, a folder for each recording."""
-    documents.write.mode("overwrite").partitionBy("rec_id").json(path)
+    """Documents as JSON, a folder for each recording; recordings that are there are replaced, others stay."""
+    documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("rec_id").json(path)
 
 
 def subtitles(segments: DataFrame, text: str = "text", bucket_ms: int = BUCKET_MS) -> DataFrame:
@@ -56,8 +66,8 @@ def subtitles(segments: DataFrame, text: str = "text", bucket_ms: int = BUCKET_M
 
 
 def write_subtitles(parts: DataFrame, path: str) -> None:
-    """Subtitles as text, a folder for each recording, parts in order."""
-    parts.repartition("rec_id").sortWithinPartitions("rec_id", "part").select("rec_id", F.col("srt").alias("value")).write.mode("overwrite").partitionBy("rec_id").text(path)
+    """Subtitles as text, a folder for each recording and in it one for each part, so that a long recording isn't one task's."""
+    parts.select("rec_id", "part", F.col("srt").alias("value")).write.mode("overwrite").partitionBy("rec_id", "part").text(path)
 
 
 def clip_name(index: Column, speaker: Column, suffix: str = "wav") -> Column:
